@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +26,18 @@ def cast_to_schema(df: DataFrame, spec: TableSpec) -> DataFrame:
     """
     df = normalize_columns(df)
     present = set(df.columns)
-    typed = [
-        (F.col(name).try_cast(kind) if name in present else F.lit(None).cast(kind)).alias(name)
-        for name, kind in spec.columns.items()
-    ]
+    kinds = dict(df.dtypes)
+
+    def typed_value(name: str, kind: T.DataType) -> Column:
+        if name not in present:
+            return F.lit(None).cast(kind)
+        value = F.col(name).try_cast(kind)
+        if isinstance(kind, T.IntegralType) and kinds[name] == "string":
+            # Text such as 12.0 is a number too; its fraction is cut off.
+            return F.coalesce(value, F.col(name).try_cast("double").try_cast(kind))
+        return value
+
+    typed = [typed_value(name, kind).alias(name) for name, kind in spec.columns.items()]
     return df.select(*typed, *[c for c in LINEAGE_COLUMNS if c in present])
 
 

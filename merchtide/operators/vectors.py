@@ -14,24 +14,30 @@ from merchtide.sources.storage import stage
 PACK_ROWS = 2048
 
 
-def vectorize(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFrame:
-    """(key, vector) for texts of any length.
+def slot_sums(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFrame:
+    """(key, counts): signed token counts per vector position, texts of any length.
 
-    Tokens are counted into the vector's positions right where the text was
-    read, so one small row per text and task reaches the shuffle.
+    Tokens are added up right where the text was read, so one small row per text
+    and task reaches the shuffle. A text without tokens keeps a row of zeros.
     """
     hashed = df.select(key, F.explode_outer(tx.tokens(F.col(text))).alias("_t")).select(
         key,
         tx.hash_slot(F.col("_t"), dim).alias("_i"),
         tx.hash_sign(F.col("_t")).alias("_s"),
     )
-    slots = [
+    sums = [
         F.sum(F.when(F.col("_i") == i, F.col("_s")).otherwise(0)).alias(f"_v{i}")
         for i in range(dim)
     ]
-    counts = hashed.groupBy(key).agg(*slots)
-    packed = counts.select(key, F.array(*[F.col(f"_v{i}") for i in range(dim)]).alias("_counts"))
-    return packed.select(key, tx.unit_vector(F.col("_counts")).alias("vector"))
+    slots = F.array(*[F.col(f"_v{i}") for i in range(dim)])
+    return hashed.groupBy(key).agg(*sums).select(key, slots.alias("counts"))
+
+
+def vectorize(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFrame:
+    """(key, vector): the unit hashing vector of every text."""
+    return slot_sums(df, key, text, dim).select(
+        key, tx.unit_vector(F.col("counts")).alias("vector")
+    )
 
 
 def with_matches(

@@ -19,9 +19,6 @@ from merchtide.plans.layers import Lake, read_silver
 from merchtide.sources import tables
 from merchtide.sources.audit import audited
 
-PRIORITY = (
-    F.col("push_score").desc(), F.col("roas").desc(), F.col("cvr_pct").desc(), F.col("sku").asc(),
-)
 ACTION_COLUMNS = (
     "priority_rank", "sku", "product_name", "category", "action_type",
     "primary_channel_sequence", "reason", "suggested_budget_shift_pct",
@@ -43,6 +40,14 @@ def stamped(df: DataFrame, run_at: datetime | None = None) -> DataFrame:
     return df.withColumn("created_at", stamp.cast("timestamp"))
 
 
+def priority() -> list[Column]:
+    """Push order; the product code ends it, so no two rows are equal."""
+    return [
+        F.col("push_score").desc(), F.col("roas").desc(), F.col("cvr_pct").desc(),
+        F.col("sku").asc(),
+    ]
+
+
 def hourly_kpis(marketing: DataFrame) -> DataFrame:
     """Totals and ratios of totals per hour."""
     sums = marketing.groupBy("timestamp", "hour_key").agg(
@@ -138,7 +143,7 @@ def push_now(
 
 def prioritized(decisions: DataFrame) -> DataFrame:
     """Every decision with its place in the push order."""
-    return ranked(decisions, PRIORITY)
+    return ranked(decisions, priority())
 
 
 def recommended_actions(
@@ -152,7 +157,7 @@ def recommended_actions(
     if "priority_rank" in decisions.columns:
         best = decisions.filter(F.col("priority_rank") <= t.action_limit)
     else:
-        best = top_k(decisions, PRIORITY, t.action_limit)
+        best = top_k(decisions, priority(), t.action_limit)
     return (
         best.withColumn(
             "reason",

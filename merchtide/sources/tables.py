@@ -168,12 +168,11 @@ def _drop_emptied(touched: DataFrame, merged: DataFrame, path: str, by: list[str
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Write folders per partition value, replacing only the partitions in ``df``.
 
-    Rows are spread by partition value and a few salts, so a partition that holds
-    much of the table is written by several tasks without many small files.
+    The rebalance gathers small partition values in few files and splits a value
+    that holds much of the table over many tasks, by the sizes seen at run time.
     """
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by]), F.lit(4))
     (
-        df.repartition(*[F.col(c) for c in by], salt)
+        df.hint("rebalance", *[F.col(c) for c in by])
         .write.format(FORMAT)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
