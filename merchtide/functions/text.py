@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,15 @@ SEPARATORS = (
 )
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` one time and hand it to ``use``.
+
+    The optimizer puts an expression wherever its column is named, inside lambda
+    bodies too, where it would run again for every element.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), SEPARATORS), lambda t: t != "")
 
@@ -34,12 +45,17 @@ def hash_sign(token: Column) -> Column:
 
 def unit_vector(counts: Column) -> Column:
     """Scale to length one at six decimals; a zero vector stays zero."""
-    norm = F.sqrt(
-        F.aggregate(counts, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    )
-    return F.when(norm == 0, F.transform(counts, lambda x: x.cast("double"))).otherwise(
-        F.transform(counts, lambda x: rounded(x.cast("double") / norm, 6))
-    )
+
+    def scaled(wide: Column) -> Column:
+        norm = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda acc, x: acc + x * x))
+        return once(
+            norm,
+            lambda n: F.transform(
+                wide, lambda x: F.when(n == 0, x).otherwise(rounded(x / n, 6))
+            ),
+        )
+
+    return once(counts.cast("array<double>"), scaled)
 
 
 def hashed_vector(text: Column, dim: int = DIM) -> Column:
@@ -52,13 +68,16 @@ def hashed_vector(text: Column, dim: int = DIM) -> Column:
         tokens(text),
         lambda t: F.struct(hash_slot(t, dim).alias("i"), hash_sign(t).alias("s")),
     )
-    counts = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda k: F.aggregate(
-            F.filter(hashed, lambda z: z["i"] == k), F.lit(0), lambda acc, z: acc + z["s"]
-        ),
-    )
-    return unit_vector(counts)
+
+    def counts(words: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(dim - 1)),
+            lambda k: F.aggregate(
+                words, F.lit(0), lambda acc, z: acc + F.when(z["i"] == k, z["s"]).otherwise(0)
+            ),
+        )
+
+    return unit_vector(once(hashed, counts))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -40,50 +40,60 @@ def vectorize(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFram
     )
 
 
+Score = Callable[[Column, Column], Column]
+
+
 def with_matches(
     events: DataFrame,
     key: str,
     kb: DataFrame,
     position: str,
-    score: Callable[[Column], Column],
+    score: Score,
+    uses: Sequence[str],
     payload: Sequence[str],
     top: int = 3,
     pack_rows: int = PACK_ROWS,
 ) -> DataFrame:
     """Add ``matches``: the best ``top`` reference rows per event, best first.
 
-    ``score`` gets one reference row and may use the event's columns; a NULL
-    score leaves the row out. Ties keep the reference order. Each event is
-    scored in place against the packed reference set: no join, no pair rows.
-    A set above ``pack_rows`` is cut into blocks of that size, every event meets
-    every block by an equality join on a salted block number, and only the best
-    of each block goes on.
+    ``score`` gets the event, with the columns in ``uses``, and one reference
+    row; a NULL score leaves the row out. Ties keep the reference order. Each
+    event is scored in place against the packed reference set: no join, no pair
+    rows. A set above ``pack_rows`` is cut into blocks of that size, every event
+    meets every block by an equality join on a salted block number, and only the
+    best of each block goes on.
     """
     fields = F.struct(position, *payload)
     kb = stage(kb.select(position, *payload), "reference")
     if kb.limit(pack_rows + 1).count() <= pack_rows:
         packed = kb.agg(F.sort_array(F.collect_list(fields))).scalar()
         held = events.withColumn("_kb", packed)
-        return held.withColumn("matches", _best(F.col("_kb"), score, position, top)).drop("_kb")
-    return _blocked(events, key, kb, fields, position, score, top, pack_rows)
+        return held.withColumn(
+            "matches", _best(uses, F.col("_kb"), score, position, top)
+        ).drop("_kb")
+    return _blocked(events, key, kb, fields, position, score, uses, top, pack_rows)
 
 
-def _best(block: Column, score, position: str, top: int) -> Column:
-    scored = F.transform(
-        block,
-        lambda k: F.struct(
-            (-score(k)).alias("worse"), k[position].alias("position"), k.alias("entry")
-        ),
-    )
-    known = F.filter(scored, lambda s: s["worse"].isNotNull())
-    # Sorting the small (score, position) pair decides; the entry rides along.
-    best = F.slice(F.array_sort(known), 1, top)
+def _best(uses: Sequence[str], block: Column, score: Score, position: str, top: int) -> Column:
+    """The best rows of a block for the event at hand."""
+
+    def places(event: Column) -> Column:
+        scored = F.transform(
+            block,
+            lambda k, i: F.struct(
+                (-score(event, k)).alias("worse"), k[position].alias("position"), i.alias("i")
+            ),
+        )
+        known = F.filter(scored, lambda s: s["worse"].isNotNull())
+        return F.slice(F.array_sort(known), 1, top)
+
+    best = tx.once(F.struct(*uses), places)
     return F.transform(
-        best, lambda s: F.struct((-s["worse"]).alias("score"), s["entry"].alias("entry"))
+        best, lambda s: F.struct((-s["worse"]).alias("score"), block[s["i"]].alias("entry"))
     )
 
 
-def _blocked(events, key, kb, fields, position, score, top, pack_rows) -> DataFrame:
+def _blocked(events, key, kb, fields, position, score, uses, top, pack_rows) -> DataFrame:
     rows = kb.count()
     blocks = -(-rows // pack_rows)
     spread = max(1, int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks + 1)
@@ -95,10 +105,11 @@ def _blocked(events, key, kb, fields, position, score, top, pack_rows) -> DataFr
     )
     events = stage(events, "events")
     met = (
-        events.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(spread)).cast("int"))
+        events.select(key, *[c for c in uses if c != key])
+        .withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(spread)).cast("int"))
         .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         .join(packed, ["_block", "_salt"])
-        .select(key, _best(F.col("_kb"), score, position, top).alias("_best"))
+        .select(key, _best(uses, F.col("_kb"), score, position, top).alias("_best"))
     )
     ordered = F.array_sort(
         F.transform(

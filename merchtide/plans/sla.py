@@ -419,11 +419,13 @@ def query_text() -> Column:
     return F.concat_ws(" ", "batch_id", "risk_level", F.concat_ws(" ", "processes"), trouble)
 
 
-def match_score(entry: Column) -> Column:
+def match_score(event: Column, entry: Column) -> Column:
     """Similarity plus a bonus per involved and per degraded process of the entry."""
-    involved = F.size(F.filter("processes", lambda p: p == entry["process"]))
-    degraded = F.size(F.filter("degraded_processes", lambda d: d["process"] == entry["process"]))
-    likeness = tx.dot(F.col("query_vector"), entry["embedding_vector"])
+    involved = F.size(F.filter(event["processes"], lambda p: p == entry["process"]))
+    degraded = F.size(
+        F.filter(event["degraded_processes"], lambda d: d["process"] == entry["process"])
+    )
+    likeness = tx.dot(event["query_vector"], entry["embedding_vector"])
     return rounded(likeness + involved * 0.25 + degraded * 0.40, 4)
 
 
@@ -433,6 +435,7 @@ def with_knowledge(found: DataFrame, kb: DataFrame, top: int = 3,
     asked = found.withColumn("query_vector", tx.hashed_vector(query_text()))
     return with_matches(
         asked, "batch_id", kb, "kb_id", match_score,
+        ["query_vector", "processes", "degraded_processes"],
         [*MATCH_COLUMNS, "embedding_vector"], top, pack_rows,
     ).drop("query_vector")
 
@@ -513,8 +516,8 @@ def with_context(events: DataFrame, key: str, text: str, kb: DataFrame, kb_key:
     """
     found = with_matches(
         events, key, kb, position,
-        lambda k: F.when(tx.mentions_key(F.col(text), k[kb_key]), F.lit(1)),
-        [kb_key, resolution], top=2**31 - 1, pack_rows=pack_rows,
+        lambda e, k: F.when(tx.mentions_key(e[text], k[kb_key]), F.lit(1)),
+        [text], [kb_key, resolution], top=2**31 - 1, pack_rows=pack_rows,
     )
     lines = F.transform(
         "matches",

@@ -12,13 +12,23 @@ from merchtide.sources.testdata import TestData
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
 
+# The lazy frames of a folder, defined once per session. They are plans, not data.
+_frames: dict[tuple[str, str], TestData] = {}
+
+
+def frames(spark: SparkSession, folder: str) -> TestData:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _frames:
+        _frames[key] = TestData(spark, folder)
+    return _frames[key]
+
 
 def query(name: str, twin: str | None = None):
     """Register a function of the test data; ``twin`` is the SQL with the same result."""
 
     def register(build: Callable[[TestData], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(TestData(configure(spark), folder))
+            return build(frames(configure(spark), folder))
 
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
@@ -31,4 +41,4 @@ def query(name: str, twin: str | None = None):
 
 
 def load() -> None:
-    from merchtide.queries import gold  # noqa: F401
+    from merchtide.queries import functions, gold, layers, risk  # noqa: F401

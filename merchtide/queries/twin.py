@@ -46,7 +46,7 @@ SEPARATORS = (
 
 
 def token_list(column: str) -> str:
-    return f"list_filter(regexp_split_to_array(lower({column}), '{SEPARATORS}'), x -> x <> '')"
+    return f"list_filter(regexp_split_to_array(lower({column}), '{SEPARATORS}'), lambda x: x <> '')"
 
 
 SLOT = "CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % 32 AS INTEGER)"
@@ -335,8 +335,8 @@ CTES: dict[str, str] = {
     "sim": "SELECT q.batch_id, k.kb_id, SUM(q.v * k.v) AS likeness FROM qv q JOIN kbv k ON q.i = k.i "
            "GROUP BY 1, 2",
     "mtc0": "SELECT s.batch_id, s.kb_id, " + rnd(
-        "likeness + len(list_filter(t.processes, p -> p = k.process)) * 0.25e0 "
-        "+ len(list_filter(string_split(t.degraded, ','), p -> p = k.process)) * 0.40e0", 4)
+        "likeness + len(list_filter(t.processes, lambda p: p = k.process)) * 0.25e0 "
+        "+ len(list_filter(string_split(t.degraded, ','), lambda p: p = k.process)) * 0.40e0", 4)
             + " AS score, k.process, k.mitigations, t.risk_level, t.estimated_minutes_late "
             "FROM sim s JOIN kb k ON s.kb_id = k.kb_id JOIN trg t ON s.batch_id = t.batch_id",
     "mtc": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY score DESC, kb_id) "

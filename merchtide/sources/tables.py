@@ -23,12 +23,15 @@ MAX_LISTED_PARTITIONS = 2000
 
 
 def versions(spark: SparkSession, path: str) -> list[str]:
-    names = [n for n in storage.child_names(spark, path) if n.startswith("v")]
+    names = [n for n in storage.child_names(spark, path) if n.startswith("v0")]
     return [n for n in names if storage.exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(versions(spark, path)) or storage.exists(spark, f"{path}/_SUCCESS")
+    """True for a complete version, or for a plain folder with visible content."""
+    names = storage.child_names(spark, path)
+    plain = [n for n in names if n[0] not in "._" and not n.startswith("v0")]
+    return bool(plain) or bool(versions(spark, path))
 
 
 def current_path(spark: SparkSession, path: str) -> str:

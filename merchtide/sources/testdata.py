@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchtide.functions import clock as ck
 from merchtide.functions import metrics as mt
@@ -31,6 +32,10 @@ BATCH_PROCESSES = (
 )
 
 
+# Table schemas already read, so a footer is opened once per file and session.
+_schemas: dict[str, T.StructType] = {}
+
+
 @dataclass
 class TestData:
     """``grain`` is the width of a marketing and stock slot."""
@@ -40,7 +45,10 @@ class TestData:
     grain: str = "day"
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     @cached_property
     def clock(self) -> Column:
