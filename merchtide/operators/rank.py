@@ -26,6 +26,14 @@ def ranked(
     ``order`` must be total: end it with a unique column. Then a range boundary
     can fall anywhere, and a hot group spreads over many partitions.
     """
+    placed = _placed(df, order, group)
+    if not group:
+        return placed.withColumnRenamed("_place", name)
+    return _from_group_start(placed, group, name).select(*df.columns, name)
+
+
+def _placed(df: DataFrame, order: Sequence[Column], group: Sequence[str]) -> DataFrame:
+    """The rows with their global place, from 1, in group and sort order."""
     keys = [F.col(c).asc() for c in group]
     rows = stage(
         df.orderBy(*keys, *order).withColumn("_row", F.monotonically_increasing_id()), "ranked"
@@ -37,28 +45,29 @@ def ranked(
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
     )
-    placed = (
+    inside = F.col("_row").bitwiseAND((1 << _ROW_BITS) - 1)
+    return (
         rows.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn(
-            "_place", F.col("_before") + (F.col("_row").bitwiseAND((1 << _ROW_BITS) - 1)) + 1
-        )
+        .withColumn("_place", F.col("_before") + inside + 1)
         .drop("_part", "_before", "_row")
     )
-    if not group:
-        return placed.withColumnRenamed("_place", name)
-    # The marker table has one row per group; staging shows the planner its true
-    # size, which decides between a broadcast and a shuffled join.
-    first = stage(
-        placed.groupBy(*group).agg(F.min("_place").alias("_first")), "ranked-groups"
+
+
+def _from_group_start(placed: DataFrame, group: Sequence[str], name: str) -> DataFrame:
+    """Add each row's rank in its group and the group's size ``_n``.
+
+    The group table has one row per group; staging it shows the planner its true
+    size, which decides between a broadcast and a shuffled join.
+    """
+    groups = stage(
+        placed.groupBy(*[F.col(c).alias(f"_g_{c}") for c in group]).agg(
+            F.min("_place").alias("_first"), F.count("*").alias("_n")
+        ),
+        "ranked-groups",
     )
-    marked = first.select(*[F.col(c).alias(f"_g_{c}") for c in group], "_first")
     same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group]
-    return (
-        placed.join(marked, same)
-        .withColumn(name, F.col("_place") - F.col("_first") + 1)
-        .select(*df.columns, name)
-    )
+    return placed.join(groups, same).withColumn(name, F.col("_place") - F.col("_first") + 1)
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int, name: str = "priority_rank") -> DataFrame:
@@ -80,9 +89,8 @@ def percentiles(
     next to such a position are kept after ranking.
     """
     known = df.select(group, value, unique).filter(F.col(value).isNotNull())
-    places = ranked(known, [F.col(value).asc(), F.col(unique).asc()], [group], "_rank")
-    counts = stage(places.groupBy(group).agg(F.count("*").alias("_n")), "group-sizes")
-    sized = places.join(counts, group)
+    placed = _placed(known, [F.col(value).asc(), F.col(unique).asc()], [group])
+    sized = _from_group_start(placed, [group], "_rank")
     picked = []
     for name, p in points.items():
         spot = (F.col("_n") - 1) * F.lit(float(p))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchtide.functions import text as tx
+from merchtide.functions.numeric import rounded
 from merchtide.sources.storage import stage
 
 # A reference set up to this many rows travels to every task as one value.
@@ -20,10 +24,10 @@ def slot_sums(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFram
     Tokens are added up right where the text was read, so one small row per text
     and task reaches the shuffle. A text without tokens keeps a row of zeros.
     """
-    hashed = df.select(key, F.explode_outer(tx.tokens(F.col(text))).alias("_t")).select(
-        key,
-        tx.hash_slot(F.col("_t"), dim).alias("_i"),
-        tx.hash_sign(F.col("_t")).alias("_s"),
+    # An empty piece has no position, so it adds nothing but keeps the text's row.
+    word = F.when(F.col("_t") != "", F.col("_t"))
+    hashed = df.select(key, F.explode_outer(tx.pieces(F.col(text))).alias("_t")).select(
+        key, tx.hash_slot(word, dim).alias("_i"), tx.hash_sign(word).alias("_s")
     )
     sums = [
         F.sum(F.when(F.col("_i") == i, F.col("_s")).otherwise(0)).alias(f"_v{i}")
@@ -41,6 +45,117 @@ def vectorize(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFram
 
 
 Score = Callable[[Column, Column], Column]
+SCORE_DIGITS = 4
+_CELLS = 1 << 20  # scores held at a time by one task
+
+
+def with_nearest(
+    events: DataFrame,
+    key: str,
+    vector: str,
+    kb: DataFrame,
+    position: str,
+    kb_vector: str,
+    payload: Sequence[str] = (),
+    bonus: Score | None = None,
+    uses: Sequence[str] = (),
+    top: int = 3,
+    pack_rows: int = PACK_ROWS,
+) -> DataFrame:
+    """Add ``matches``: the reference rows with the greatest dot product, best first.
+
+    ``bonus`` adds points from the event's columns in ``uses`` and the reference
+    row. Scores are rounded, ties keep the reference order. A set of up to
+    ``pack_rows`` rows goes to every task as one matrix and whole batches of
+    events are scored at a time; a larger one takes the blocked way of
+    ``with_matches``.
+    """
+    extra = [c for c in payload if c != kb_vector]
+    kb = stage(kb.select(position, kb_vector, *extra), "reference")
+    if kb.limit(pack_rows + 1).count() > pack_rows:
+
+        def score(event: Column, entry: Column) -> Column:
+            likeness = tx.dot(event[vector], entry[kb_vector])
+            total = likeness if bonus is None else likeness + bonus(event, entry)
+            return rounded(total, SCORE_DIGITS)
+
+        return with_matches(
+            events, key, kb, position, score, [vector, *uses], [kb_vector, *extra], top, pack_rows
+        )
+    # At most pack_rows rows, checked above.
+    rows = kb.select(position, kb_vector).orderBy(position).collect()
+    matrix = np.array([r[1] for r in rows], dtype=float).reshape(len(rows), -1)
+    packed = kb.agg(F.sort_array(F.collect_list(F.struct(position, *extra)))).scalar()
+    if bonus is None:
+        points = F.array().cast("array<double>")
+    else:
+        points = tx.once(
+            F.struct(*uses),
+            lambda e: F.transform("_kb", lambda k: bonus(e, k).cast("double")),
+        )
+    asked = events.withColumn("_kb", packed).withColumn("_points", points).drop("_kb")
+    scored = asked.mapInArrow(
+        _scorer(matrix, top, vector, "_points"),
+        T.StructType([
+            *asked.schema,
+            T.StructField("_score", T.ArrayType(T.DoubleType())),
+            T.StructField("_place", T.ArrayType(T.IntegerType())),
+        ]),
+    )
+    pairs = F.arrays_zip(F.col("_score").alias("score"), F.col("_place").alias("place"))
+    return scored.withColumn("_kb", packed).withColumn(
+        "matches",
+        F.transform(
+            pairs,
+            lambda t: F.struct(
+                t["score"].alias("score"), F.col("_kb")[t["place"]].alias("entry")
+            ),
+        ),
+    ).select(*events.columns, "matches")
+
+
+def _scorer(matrix: np.ndarray, top: int, vector: str, points: str):
+    """Scores Arrow batches of events against a fixed matrix, one row per entry.
+
+    Adds the best scores and the rows they belong to; the other columns pass
+    through untouched.
+    """
+    scale = 10.0**SCORE_DIGITS
+    step = max(1, _CELLS // max(1, len(matrix)))
+
+    def best(left: np.ndarray, added: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = np.zeros((len(left), len(matrix)))
+        # One position after the other, so that sums round as a plain loop's do.
+        for i in range(left.shape[1]):
+            total += left[:, i : i + 1] * matrix[:, i]
+        if added.shape[1]:
+            total += added
+        total = np.rint(total * scale) / scale
+        order = np.argsort(-total, axis=1, kind="stable")[:, :top]
+        return np.take_along_axis(total, order, axis=1), order.astype(np.int32)
+
+    def rows_of(batch: pa.RecordBatch, name: str) -> np.ndarray:
+        flat = batch.column(name).flatten().to_numpy(zero_copy_only=False)
+        return flat.reshape(batch.num_rows, -1)
+
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        cells = np.concatenate(parts)
+        offsets = np.arange(len(cells) + 1, dtype=np.int32) * cells.shape[1]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells.ravel()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, added = rows_of(batch, vector), rows_of(batch, points)
+            spans = range(0, batch.num_rows, step)
+            found = [best(left[i : i + step], added[i : i + step]) for i in spans]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, lists([f[0] for f in found]), lists([f[1] for f in found])],
+                names=[*batch.schema.names, "_score", "_place"],
+            )
+
+    return run
 
 
 def with_matches(

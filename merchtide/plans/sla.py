@@ -15,7 +15,7 @@ from merchtide.functions import text as tx
 from merchtide.functions.numeric import ratio, rounded, units
 from merchtide.model import History
 from merchtide.operators.rank import percentiles
-from merchtide.operators.vectors import PACK_ROWS, vectorize, with_matches
+from merchtide.operators.vectors import PACK_ROWS, vectorize, with_matches, with_nearest
 from merchtide.sources import tables
 from merchtide.sources.storage import stage
 
@@ -215,7 +215,6 @@ def with_process_delay(inputs: DataFrame, health: DataFrame,
     A process without health counts as UNKNOWN with no delay. Health up to
     ``pack_rows`` rows is looked up in place; a larger table is joined.
     """
-    health = stage(health.select(*[f.split()[0] for f in HEALTH_DDL.split(", ")]), "health")
     if health.limit(pack_rows + 1).count() <= pack_rows:
         entry = F.struct("process", F.struct("status", "delay_min", "resource", "message"))
         lookup = health.agg(F.map_from_entries(F.collect_list(entry))).scalar()
@@ -419,25 +418,24 @@ def query_text() -> Column:
     return F.concat_ws(" ", "batch_id", "risk_level", F.concat_ws(" ", "processes"), trouble)
 
 
-def match_score(event: Column, entry: Column) -> Column:
-    """Similarity plus a bonus per involved and per degraded process of the entry."""
+def process_bonus(event: Column, entry: Column) -> Column:
+    """Points per involved and per degraded process that is the entry's."""
     involved = F.size(F.filter(event["processes"], lambda p: p == entry["process"]))
     degraded = F.size(
         F.filter(event["degraded_processes"], lambda d: d["process"] == entry["process"])
     )
-    likeness = tx.dot(event["query_vector"], entry["embedding_vector"])
-    return rounded(likeness + involved * 0.25 + degraded * 0.40, 4)
+    return involved * 0.25 + degraded * 0.40
 
 
 def with_knowledge(found: DataFrame, kb: DataFrame, top: int = 3,
                    pack_rows: int = PACK_ROWS) -> DataFrame:
     """Add ``matches``, the best knowledge entries per prediction."""
-    asked = found.withColumn("query_vector", tx.hashed_vector(query_text()))
-    return with_matches(
-        asked, "batch_id", kb, "kb_id", match_score,
-        ["query_vector", "processes", "degraded_processes"],
-        [*MATCH_COLUMNS, "embedding_vector"], top, pack_rows,
-    ).drop("query_vector")
+    asked = vectorize(found.select("batch_id", query_text().alias("_q")), "batch_id", "_q")
+    return with_nearest(
+        found.join(asked.withColumnRenamed("vector", "_query"), "batch_id"),
+        "batch_id", "_query", kb, "kb_id", "embedding_vector", MATCH_COLUMNS,
+        process_bonus, ["processes", "degraded_processes"], top, pack_rows,
+    ).drop("_query")
 
 
 def rca_items(matches: Column) -> Column:

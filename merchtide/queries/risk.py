@@ -10,7 +10,7 @@ from merchtide.functions import clock as ck
 from merchtide.functions import text as tx
 from merchtide.functions.numeric import rounded
 from merchtide.operators.columns import harmonize_numbers
-from merchtide.operators.vectors import slot_sums, vectorize, with_matches
+from merchtide.operators.vectors import slot_sums, vectorize, with_nearest
 from merchtide.plans import sla
 from merchtide.queries import query
 from merchtide.queries.twin import rnd, sql, text
@@ -264,16 +264,17 @@ def _(d):
         (F.col("pos") + 1).cast("long").alias("place"))
 
 
+def document_matches(d, top: int) -> DataFrame:
+    docs = vectorize(d.raw("documents"), "doc_id", "text")
+    items = vectorize(d.raw("benchmark"), "item_id", "text")
+    return with_nearest(docs, "doc_id", "vector", items, "item_id", "vector", top=top)
+
+
 @query("jn09_document_matches", sql(
     "SELECT doc_id, item_id, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id "
     "ORDER BY score DESC, item_id) AS place FROM dbs) WHERE place <= 3"))
 def _(d):
-    docs = vectorize(d.raw("documents"), "doc_id", "text")
-    items = vectorize(d.raw("benchmark"), "item_id", "text").withColumnRenamed("vector", "known")
-    matched = with_matches(
-        docs, "doc_id", items, "item_id",
-        lambda e, k: rounded(tx.dot(e["vector"], k["known"]), 4), ["vector"], ["known"])
-    rows = matched.select("doc_id", F.explode("matches").alias("m"))
+    rows = document_matches(d, 3).select("doc_id", F.explode("matches").alias("m"))
     return rows.select("doc_id", "m.entry.item_id", "m.score")
 
 
@@ -281,12 +282,8 @@ def _(d):
     "SELECT doc_id, item_id FROM (SELECT *, row_number() OVER (PARTITION BY doc_id "
     "ORDER BY score DESC, item_id) AS place FROM dbs) WHERE place = 1"))
 def _(d):
-    docs = vectorize(d.raw("documents"), "doc_id", "text")
-    items = vectorize(d.raw("benchmark"), "item_id", "text").withColumnRenamed("vector", "known")
-    matched = with_matches(
-        docs, "doc_id", items, "item_id",
-        lambda e, k: rounded(tx.dot(e["vector"], k["known"]), 4), ["vector"], ["known"], top=1)
-    return matched.select("doc_id", F.col("matches")[0]["entry"]["item_id"].alias("item_id"))
+    best = F.col("matches")[0]["entry"]["item_id"]
+    return document_matches(d, 1).select("doc_id", best.alias("item_id"))
 
 
 # --- answers --------------------------------------------------------------

@@ -260,7 +260,7 @@ CTES: dict[str, str] = {
            + _case("event_id % 10", EVENT_PROCESSES) + " AS current_process, "
            "concat('node_', event_type) AS current_resource, "
            "CASE WHEN event_type = 'error' THEN 'DEGRADED' WHEN event_type <> 'view' THEN 'HEALTHY' END "
-           "AS process_status, value / 10e0 AS process_delay_min, "
+           "AS process_status, value / 25e0 AS process_delay_min, "
            "concat_ws(' ', " + _case("event_id % 10", EVENT_PROCESSES)
            + ", 'reported', event_type) AS message FROM events",
     "clk": "SELECT date_trunc('hour', max(ts)) + INTERVAL 30 MINUTE AS n FROM events",

@@ -275,7 +275,7 @@ class TestData:
             F.concat(F.lit("node_"), kind).alias("current_resource"),
             F.when(kind == "error", "DEGRADED").when(kind != "view", "HEALTHY")
             .alias("process_status"),
-            (F.col("value") / 10.0).alias("process_delay_min"),
+            (F.col("value") / 25.0).alias("process_delay_min"),
             F.concat_ws(" ", process, F.lit("reported"), kind).alias("message"),
         )
 
