@@ -18,6 +18,7 @@ from merchtide.operators.snapshot import at_latest, latest_time
 from merchtide.plans.layers import Lake, read_silver
 from merchtide.sources import tables
 from merchtide.sources.audit import audited
+from merchtide.sources.storage import staging
 
 ACTION_COLUMNS = (
     "priority_rank", "sku", "product_name", "category", "action_type",
@@ -263,12 +264,18 @@ def build_gold(
             model.CHANNEL_HOURLY,
         )
     )
+    # The newest hour by its key, which the facts are partitioned by: the scans
+    # below open one hour's folders and no others.
+    hour = latest_time(marketing, "hour_key")
+    marketing = marketing.filter(F.col("hour_key") == hour)
+    stock = stock.filter(F.col("hour_key") == hour)
+    category, channel = (at_latest(df, "hour_key") for df in (category, channel))
     counts = {}
 
     def write(name: str, df: DataFrame) -> None:
         counts[name] = tables.replace_table(stamped(df, run_at), lake.table("gold", name))
 
-    with audited(spark, log, run_id, "build_gold", "gold_outputs") as outcome:
+    with audited(spark, log, run_id, "build_gold", "gold_outputs") as outcome, staging(spark):
         write("main_dashboard_kpis", main_kpis(marketing, stock))
         write("category_demand_lift_current", category_lift(category))
         write(

@@ -94,12 +94,12 @@ def build_silver(
     for spec in specs:
         target = lake.table("silver", spec.target)
         log = lake.table("ops", "etl_audit_log")
-        with audited(spark, log, run_id, "build_silver", target) as outcome:
+        with audited(spark, log, run_id, "build_silver", target) as outcome, storage.staging(spark):
             bronze = tables.read_table(
                 spark, lake.table("bronze", f"raw_{spec.source}"), merge=True
             )
-            # The checks and the load share one typed copy instead of two casts.
-            typed = storage.stage(cast_to_schema(bronze, spec), "typed")
+            # Read twice, by the checks and by the load: a copy would cost more than a scan.
+            typed = cast_to_schema(bronze, spec)
             tables.append_typed(
                 silver_checks(typed, spec, run_id).coalesce(1),
                 lake.table("ops", "data_quality_results"),
@@ -114,10 +114,14 @@ def build_silver(
 
 def read_silver(spark: SparkSession, lake: Lake, spec: TableSpec) -> DataFrame:
     """A silver table with its declared types; partition values included."""
-    rows = tables.read_table(spark, lake.table("silver", spec.target), merge=True)
+    path = lake.table("silver", spec.target)
+    rows = tables.read_table(spark, path, merge=True, partition_by=spec.partition_by)
     kinds = spec.columns
     return rows.select(
-        *[F.col(c).cast(k).alias(c) for c, k in kinds.items()],
+        *[
+            F.col(c) if rows.schema[c].dataType == k else F.col(c).cast(k).alias(c)
+            for c, k in kinds.items()
+        ],
         *[c for c in rows.columns if c not in kinds],
     )
 

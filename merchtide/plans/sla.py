@@ -17,7 +17,7 @@ from merchtide.model import History
 from merchtide.operators.rank import percentiles
 from merchtide.operators.vectors import PACK_ROWS, vectorize, with_matches, with_nearest
 from merchtide.sources import tables
-from merchtide.sources.storage import stage
+from merchtide.sources.storage import stage, staging
 
 DELAY_DIGITS = 6
 HEALTH_DDL = "process string, status string, delay_min double, resource string, message string"
@@ -571,15 +571,16 @@ def run_monitor(
     def stamp(df: DataFrame) -> DataFrame:
         return df.withColumn("created_at", F.lit(now))
 
-    tables.replace_table(stamp(registry), f"{ops_dir}/sla_batch_registry")
-    tables.replace_table(
-        stamp(vectorized_knowledge(knowledge)), f"{ops_dir}/sla_rca_kb_vectorized"
-    )
-    found, advice = monitor(
-        registry, events, knowledge, F.lit(now).cast("timestamp_ntz"), health_events
-    )
-    tables.append_rows(
-        stamp(prediction_records(found)), f"{ops_dir}/sla_prediction_results"
-    )
-    tables.append_rows(stamp(advice), f"{ops_dir}/sla_agent_recommendations")
-    return run_summary(found).first().asDict()
+    with staging(spark):
+        tables.replace_table(stamp(registry), f"{ops_dir}/sla_batch_registry")
+        tables.replace_table(
+            stamp(vectorized_knowledge(knowledge)), f"{ops_dir}/sla_rca_kb_vectorized"
+        )
+        found, advice = monitor(
+            registry, events, knowledge, F.lit(now).cast("timestamp_ntz"), health_events
+        )
+        tables.append_rows(
+            stamp(prediction_records(found)), f"{ops_dir}/sla_prediction_results"
+        )
+        tables.append_rows(stamp(advice), f"{ops_dir}/sla_agent_recommendations")
+        return run_summary(found).first().asDict()

@@ -359,7 +359,7 @@ def _(d):
 
 @query("sla16_prompt", sql(
     "SELECT e.event_id, concat('Table: ', coalesce(e.current_process, 'Unknown'), chr(10), "
-    "'Latency in minutes: ', CAST(e.process_delay_min AS VARCHAR), chr(10), "
+    "'Latency in minutes: ', CAST(CAST(round_even(e.process_delay_min, 0) AS BIGINT) AS VARCHAR), chr(10), "
     "'Allowed minutes: 45', chr(10), 'Status: ', coalesce(e.process_status, 'CRITICAL'), chr(10), "
     "'Known remedies:', chr(10), c.context, chr(10), "
     "'Write the root cause, an impact score from 1 to 10 and the steps to recover.') AS prompt "
@@ -368,8 +368,10 @@ def _(d):
     c = F.col
     return contexts(d).select(
         "event_id",
-        sla.prompt(c("current_process"), c("process_delay_min"), F.lit(45), c("process_status"),
-                   c("context")).alias("prompt"))
+        sla.prompt(
+            c("current_process"), F.rint("process_delay_min").cast("long"), F.lit(45),
+            c("process_status"), c("context"),
+        ).alias("prompt"))
 
 
 @query("sla17_reference_refresh", sql(

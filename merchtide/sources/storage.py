@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,12 +45,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete what this session has staged; call it when the results are written."""
-    while _staged:
+def drop_staged(spark: SparkSession, keep: int = 0) -> None:
+    """Delete what this session has staged, but for the first ``keep`` tables.
+
+    Call it when the results are written.
+    """
+    while len(_staged) > keep:
         remove(spark, _staged.pop())
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was staged inside; the results must be written by then."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        drop_staged(spark, before)
+
+
 def file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

@@ -41,13 +41,25 @@ def current_path(spark: SparkSession, path: str) -> str:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    merge: bool = False,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Scan a table; ``merge`` unites the columns of files written over time."""
+    """Scan a table; ``merge`` unites the columns of files written over time.
+
+    Values of the ``partition_by`` columns come from folder names and are read
+    as text, without guessing numbers, so 007 stays 007.
+    """
+    here = current_path(spark, path)
     reader = spark.read.format(FORMAT).option("mergeSchema", merge)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(current_path(spark, path))
+    if schema is None and partition_by:
+        guessed = reader.load(here).schema
+        schema = T.StructType([
+            T.StructField(f.name, T.StringType()) if f.name in partition_by else f for f in guessed
+        ])
+    return (reader.schema(schema) if schema is not None else reader).load(here)
 
 
 def replace_table(df: DataFrame, path: str, keep: int = 2, token: str | None = None) -> int:
@@ -119,8 +131,8 @@ def _upsert_partitions(source: DataFrame, path: str, keys: list[str], by: list[s
     if not table_exists(spark, path):
         write_partitioned(source, path, by)
         return
-    target = read_table(spark, path, merge=True)
-    # Partition values come back from folder names, so their types are restated.
+    target = read_table(spark, path, merge=True, partition_by=by)
+    # Partition values come back as text, so their types are restated.
     kinds = {f.name: f.dataType for f in source.schema}
     target = target.select(
         *[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in target.columns]

@@ -119,3 +119,15 @@ def test_drops_to_gold(spark, data, tmp_path):
     assert spark.table("vw_tested_low_stock").count() == low
     report = layers.maintain(spark, lake, [model.PRODUCT], gold.GOLD_TABLES)
     assert set(report.values()) == {"1 files"}
+
+
+def test_gold_scans_one_hour_of_the_facts(spark, data, tmp_path):
+    lake = Lake(str(tmp_path))
+    tables.write_partitioned(
+        data.marketing.select(*model.MARKETING.columns), lake.table("silver", model.MARKETING.target),
+        ["hour_key"])
+    rows = layers.read_silver(spark, lake, model.MARKETING)
+    now = gold.at_latest(rows, "hour_key")
+    plan = now._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(hour_key" in plan
+    assert dict(now.dtypes)["hour_key"] == "string"

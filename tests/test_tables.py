@@ -122,3 +122,36 @@ def test_typed_append_orders_and_fills(spark, tmp_path):
     read = spark.read.parquet(path)
     assert read.columns == [c.split()[0] for c in AUDIT_DDL.split(", ")]
     assert read.first().status is None
+
+
+def test_partition_values_stay_text(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, "007", 1), (2, "7", 1)], "k int, part string, v int")
+    tables.upsert_table(first, path, ["k"], ["part"])
+    tables.upsert_table(
+        spark.createDataFrame([(1, "007", 2)], "k int, part string, v int"), path, ["k"], ["part"])
+    read = tables.read_table(spark, path, partition_by=["part"]).select("k", "part", "v")
+    assert rows_of(read) == [(1, "007", 2), (2, "7", 1)]
+
+
+def test_staged_tables_are_removed(spark):
+    with storage.staging(spark):
+        kept = storage.stage(spark.range(3), "tested")
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert kept.count() == 3
+    assert not storage.exists(spark, path)
+
+
+def test_cluster_without_shared_folder_is_refused(monkeypatch):
+    class Context:
+        master = "spark://somewhere"
+
+        def getCheckpointDir(self):  # noqa: N802 - Spark's name
+            return None
+
+    class Session:
+        sparkContext = Context()  # noqa: N815 - Spark's name
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.scratch_root(Session())
