@@ -171,12 +171,12 @@ def with_matches(
 ) -> DataFrame:
     """Add ``matches``: the best ``top`` reference rows per event, best first.
 
-    ``score`` gets the event, with the columns in ``uses``, and one reference
-    row; a NULL score leaves the row out. Ties keep the reference order. Each
-    event is scored in place against the packed reference set: no join, no pair
-    rows. A set above ``pack_rows`` is cut into blocks of that size, every event
-    meets every block by an equality join on a salted block number, and only the
-    best of each block goes on.
+    ``key`` identifies an event: unique and never NULL. ``score`` gets the event,
+    with the columns in ``uses``, and one reference row; a NULL score leaves the
+    row out. Ties keep the reference order. Each event is scored in place against
+    the packed reference set: no join, no pair rows. A set above ``pack_rows`` is
+    cut into blocks of that size, every event meets every block by an equality
+    join on a salted block number, and only the best of each block goes on.
     """
     fields = F.struct(position, *payload)
     kb = stage(kb.select(position, *payload), "reference")

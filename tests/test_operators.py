@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from merchtide.model import PRODUCT
+from merchtide.operators import rank
 from merchtide.operators.columns import cast_to_schema, normalize_columns
 from merchtide.operators.dedupe import keep_newest
 from merchtide.operators.ledger import share_of_total, stock_ledger
@@ -68,6 +69,25 @@ def test_rank_equals_sorting(spark):
     assert grouped == by_group
 
 
+def test_hot_group_spreads_over_partitions(spark, monkeypatch):
+    staged = []
+
+    def keeping(df, label):
+        staged.append(rank.storage_stage(df, label))
+        return staged[-1]
+
+    monkeypatch.setattr(rank, "storage_stage", rank.stage, raising=False)
+    monkeypatch.setattr(rank, "stage", keeping)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(40000).withColumn("g", F.when(F.col("id") % 3 > 0, "hot").otherwise("cold"))
+        assert ranked(df, [F.col("id").desc()], ["g"], "n").count() == 40000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = staged[0].groupBy(F.shiftright("_row", 33)).count().collect()
+    assert max(r["count"] for r in sizes) < 2 * 40000 / len(sizes)
+
+
 def test_rank_of_null_groups_and_nothing(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, id int")
     got = sorted((r.id, r.n) for r in ranked(df, [F.col("id").asc()], ["g"], "n").collect())
