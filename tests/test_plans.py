@@ -3,7 +3,6 @@
 import pytest
 
 from merchtide import model, queries
-from merchtide.plans import sla
 
 LAZY = [
     "flow04_kpi_history", "flow06_push_history", "flow08_budget_shift", "agg10_category_summary",
@@ -49,5 +48,4 @@ def test_registry_and_rules_are_complete():
     for spec in model.REGISTRY:
         assert spec.keys and set(spec.keys) <= set(spec.columns)
         assert set(spec.cluster_by) | set(spec.partition_by) | set(spec.required) <= set(spec.columns)
-    assert set(model.PROCESS_RESOURCES) >= {
-        p for p in sla.model.PROCESS_RESOURCES}
+    assert set(model.PROCESS_RESOURCES) >= {e.process for e in model.STARTER_KNOWLEDGE}
