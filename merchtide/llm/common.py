@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from merchtide.session import configure
@@ -38,3 +38,16 @@ def ascii_lower(text: Column) -> Column:
 def boxed(docs: DataFrame) -> Column:
     """All columns as one value, so that no name of theirs can clash with a working column."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def first_of_each(rows: DataFrame, group: str, order: str, most: int, lots: int = 64) -> DataFrame:
+    """The ``most`` first rows of each group by ``order``, with a hot group split into lots first.
+
+    Every lot keeps its own first rows, so what meets at the end is ``lots`` times ``most``
+    rows of a group, however large the group is.
+    """
+    rows = rows.withColumn("_lot", F.pmod(F.xxhash64(order, F.lit(1)), F.lit(lots)))
+    for keys in ((group, "_lot"), (group,)):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+        rows = rows.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
+    return rows.drop("_lot")

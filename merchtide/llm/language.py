@@ -8,10 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchtide.llm.common import prepared
+from merchtide.llm.common import first_of_each, prepared
 
 UNKNOWN = "und"
 # Hashed n-gram dimensions; n-grams are 1 to 3 characters of letters and word ends.
@@ -121,13 +121,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     that knows no language.
     """
     prepared(docs.sparkSession)
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    chosen = (
-        docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-        .select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("h"))
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-        .select("lang", "text")
-    )
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("h"))
+    # Only hashes are ranked; the texts are fetched for the few that were chosen.
+    picked = first_of_each(known.select("lang", "h").distinct(), "lang", "h", per_language)
+    chosen = known.join(picked, ["lang", "h"]).groupBy("lang", "h").agg(F.max("text").alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -139,7 +137,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
                     found.append((language, at.astype(np.int32), counts[at].astype(np.float32)))
             yield pd.DataFrame(found, columns=["lang", "at", "n"])
 
-    rows = chosen.mapInPandas(count, "lang string, at array<int>, n array<float>").collect()
+    rows = chosen.select("lang", "text").mapInPandas(count, "lang string, at array<int>, n array<float>").collect()
     rows.sort(key=lambda r: (r["lang"], r["at"], r["n"]))
     table = np.zeros((len(rows), DIMENSIONS), np.float32)
     for i, r in enumerate(rows):

@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchtide.llm.common import prepared
+from merchtide.llm.common import first_of_each, prepared
 from merchtide.sources.storage import stage
 
 # The model is fitted on at most this many labelled documents of each class, first in hash
@@ -128,8 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         .groupBy(F.col(doc_id).alias("id")).agg(F.max(F.col(toxic).cast("int")).alias("label"))
     )
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().where("label in (0, 1)").collect()}
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class)
+    chosen = first_of_each(known.withColumn("h", F.xxhash64("id")), "label", "h", per_class)
     # At most two times per_class ids, so the hint is safe at any size of the corpus.
     texts = (
         docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
