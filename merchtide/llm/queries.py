@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchtide.llm import language, simhash, toxicity
+from merchtide.llm import chat, language, licenses, mixing, simhash, toxicity
 from merchtide.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,45 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.get("t.offending", 0)["end"].alias("worst_end"))
 
 
+@query
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, formatted and read back, and one whose texts hold control strings."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = F.lit("\\### Assistant: </turn> ok")
+    extra = spark.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(n).cast("long").alias("turn"),
+                 F.lit(role).alias("role"), tricky.alias("text"))
+        for n, role in enumerate(("user", "assistant"))])).alias("r")).select("r.*")
+    turns = rows.unionByName(extra).withColumn("parts", chat.text_part(F.col("text")))
+    found = chat.format_conversations(turns).withColumn("turns", chat.read_back(F.col("formatted")))
+    learned = F.filter(F.arrays_zip("turns", "spans"), lambda x: x["spans"]["loss"])
+    return found.withColumn("learned", F.array_join(F.transform(learned, lambda x: x["turns"]["text"]), "")).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(
+            t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+ORACLES["op4_chat"] = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+s AS (
+    SELECT *, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS safe,
+        replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS safe_role FROM t)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+        FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('<turn >' || chr(10) || '</turn>' || chr(10)) + length(safe) + length(safe_role)) AS BIGINT)
+        AS formatted_chars
+FROM s GROUP BY conv_id"""
+
+
 @query
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language and similarity of every document; learned off the held-out rows."""
@@ -48,3 +87,56 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs)
+
+
+@query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs)
+
+
+ORACLES["op6_mixing"] = r"""
+WITH d AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+        md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS digest FROM documents),
+e AS (SELECT *, CAST(floor(size * 1000 / (size + 256)) AS BIGINT) AS liking FROM d),
+s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(sum(size * liking) AS BIGINT) AS liked,
+        [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1] AS weight FROM e GROUP BY source),
+l AS (
+    SELECT *, ((sum(source_size) OVER ()) * 3 / 2 - coalesce(sum(2 * source_size) OVER w, 0))
+        / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER w, 0)) AS level FROM s
+    WINDOW w AS (ORDER BY 2 * source_size / weight, source NULLS LAST
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (
+    SELECT source, source_size, liked,
+        least(CAST(2 * source_size AS DOUBLE), (max(level) OVER ()) * weight) AS target FROM l),
+j AS (
+    SELECT e.*, g.source_size, g.target, coalesce(g.target / nullif(g.source_size, 0), 0) AS mean,
+        e.liking / 1000.0::DOUBLE - coalesce(g.liked / nullif(g.source_size, 0), 0) / 1000.0::DOUBLE AS lean
+    FROM e JOIN g ON e.source IS NOT DISTINCT FROM g.source),
+x AS (SELECT *, mean + least(mean, 2 - mean) * lean AS expected FROM j),
+p AS (
+    SELECT *, CAST(greatest(floor(expected), 0) AS BIGINT) AS whole,
+        greatest(expected - greatest(floor(expected), 0), 0) AS p,
+        (CAST('0x' || substr(digest, 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM x),
+r AS (
+    SELECT *, CASE WHEN p > 0 THEN u * (1 - p) / ((1 - u) * p) END AS rnk,
+        target - sum(whole * size) OVER (PARTITION BY source) AS room FROM p),
+c AS (
+    SELECT *, CASE WHEN size = 0 THEN 0 ELSE whole + CASE WHEN p > 0 AND coalesce(sum(size) OVER (
+        PARTITION BY source ORDER BY rnk NULLS LAST, doc_id NULLS FIRST, digest
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 <= room THEN 1 ELSE 0 END END AS n FROM r)
+SELECT doc_id, source, size, source_size, target, CAST(n AS BIGINT) AS copies, CAST(n * size AS BIGINT) AS taken
+FROM c"""
+
+
+@query
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and templates found in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", licenses.scanned(docs).alias("f"))
+    return found.select(
+        "doc_id", "f.n_words", "f.n_base", "f.first_word", "f.last_word", "f.base_labels", "f.labels", "f.score",
+        F.size("f.blocks").cast("long").alias("n_blocks"))
