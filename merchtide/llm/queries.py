@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchtide.llm import chat, language, licenses, mixing, simhash, toxicity
+from merchtide.llm import chat, decontaminate, language, licenses, mixing, sanitise, simhash, toxicity
 from merchtide.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every verified overlap of a document with a benchmark item."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    items = table(spark, folder, "benchmark").select("item_id", "text")
+    return decontaminate.contaminations(docs, items).drop("digest")
+
+
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Score, prediction and offending sentences of every document; learned off the held-out rows."""
@@ -140,3 +148,21 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "f.n_words", "f.n_base", "f.first_word", "f.last_word", "f.base_labels", "f.labels", "f.score",
         F.size("f.blocks").cast("long").alias("n_blocks"))
+
+
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document, and the terms that give it away."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = sanitise.inspect(docs)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in sanitise.PATTERNS]
+    terms = F.transform("terms", lambda t: F.struct(
+        F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(sanitise.listed(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
+        sanitise.listed(F.concat("spans", terms)).alias("spans"))
