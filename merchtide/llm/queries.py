@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchtide.llm import chat, decontaminate, language, licenses, mixing, sanitise, simhash, toxicity
+from merchtide.llm import (
+    chat, decontaminate, language, licenses, mixing, neighbours, sanitise, simhash, toxicity, warc)
 from merchtide.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +43,13 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.get("t.offending", 0)["end"].alias("worst_end"))
 
 
+@query
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest of every fiftieth vector, against all vectors."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 @query
 def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation, formatted and read back, and one whose texts hold control strings."""
@@ -140,6 +148,58 @@ SELECT doc_id, source, size, source_size, target, CAST(n AS BIGINT) AS copies, C
 FROM c"""
 
 
+@query
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversion and metadata records of every page."""
+    return warc.derived(warc.responses(table(spark, folder, "pages").select("page_id", "url", "html")))
+
+
+def _sql_text(html: str) -> str:
+    text = f"regexp_replace({html}, '{warc.HIDDEN}', ' ', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, '{warc.LINE_END}', chr(10), 'g'), '{warc.TAG}', '', 'g')"
+    text = f"regexp_replace({_sql_references(text)}, '[ \\t\\r\\f]+', ' ', 'g')"
+    return f"trim(regexp_replace({text}, ' ?\\n[ \\n]*', chr(10), 'g'), ' ' || chr(10))"
+
+
+def _sql_references(text: str) -> str:
+    for name, value in warc.REFERENCES:
+        text = f"replace({text}, '{name}', '{value.replace(chr(39), chr(39) * 2)}')".replace(
+            "'&#39;'", "'&#39;'")
+    return text
+
+
+def _sql_id(kind: str, rest: str) -> str:
+    h = f"md5('{kind}|' || {rest})"
+    cut = " || '-' || ".join(f"substr({h}, {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"'<urn:uuid:' || {cut} || '>'"
+
+
+ORACLES["op7_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages),
+r AS (
+    SELECT *, {_sql_id("response", "coalesce(CAST(page_id AS VARCHAR), '') || '|' || target_uri || '|' || sha256(payload)")}
+        AS refers_to, {_sql_text("payload")} AS txt,
+        trim(regexp_replace({_sql_references(f"regexp_extract(payload, '{warc.TITLE}', 1)")}, '[ \\t\\r\\n]+', ' ', 'g'))
+        AS title FROM p),
+c AS (
+    SELECT *, {_sql_id("conversion", "refers_to")} AS conversion_id, {_sql_id("metadata", "refers_to")} AS metadata_id,
+        'sha256:' || sha256(payload) AS source_digest FROM r),
+m AS (
+    SELECT *, 'title: ' || title || e || 'links: ' || len(regexp_extract_all(payload, '{warc.LINK}', 1)) || e ||
+        'text-characters: ' || length(txt) || e || 'conversion: ' || conversion_id || e ||
+        'source-payload-digest: ' || source_digest || e ||
+        'source-http-headers: HTTP/1.1 200 OK; Content-Type: text/html; charset=utf-8; Content-Length: ' ||
+        strlen(payload) || e AS fields FROM c, (SELECT chr(13) || chr(10) AS e)),
+u AS (
+    SELECT page_id, 'conversion' AS warc_type, conversion_id AS record_id, refers_to, target_uri,
+        'text/plain; charset=utf-8' AS content_type, txt AS block, source_digest FROM m
+    UNION ALL
+    SELECT page_id, 'metadata', metadata_id, refers_to, target_uri, 'application/warc-fields', fields,
+        source_digest FROM m)
+SELECT page_id, warc_type, record_id, refers_to, target_uri, '{warc.NO_DATE}' AS date, content_type,
+    strlen(block) AS content_length, 'sha256:' || sha256(block) AS block_digest, source_digest, block FROM u"""
+
+
 @query
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and templates found in every document."""
