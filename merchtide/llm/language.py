@@ -134,16 +134,18 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
                 counts = ngram_counts(body)
                 if counts is not None:
                     at = np.flatnonzero(counts)
-                    found.append((language, at.astype(np.int32), counts[at].astype(np.float32)))
+                    found.append((language, at.astype("<u2").tobytes(), counts[at].astype("<f4").tobytes()))
             yield pd.DataFrame(found, columns=["lang", "at", "n"])
 
-    rows = chosen.select("lang", "text").mapInPandas(count, "lang string, at array<int>, n array<float>").collect()
+    rows = chosen.select("lang", "text").mapInPandas(count, "lang string, at binary, n binary").collect()
     rows.sort(key=lambda r: (r["lang"], r["at"], r["n"]))
     table = np.zeros((len(rows), DIMENSIONS), np.float32)
     for i, r in enumerate(rows):
-        table[i, r["at"]] = r["n"]
-    weights = np.log((1 + len(rows)) / (1 + (table > 0).sum(axis=0))) + 1.0
-    table = _unit((np.log1p(table) * weights).astype(np.float32))
+        table[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
+    weights = (np.log((1 + len(rows)) / (1 + np.count_nonzero(table, axis=0))) + 1.0).astype(np.float32)
+    np.log1p(table, out=table)
+    table *= weights
+    table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-12)
     labels = np.array([r["lang"] for r in rows], object)
     languages, centres, floors = [], [], []
     for language in sorted(set(labels)):
@@ -153,7 +155,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         centres += list(found)
         floors += [REJECT_FACTOR * float((own @ found.T).max(axis=1).min())] * len(found)
     return Model(languages, np.array(centres, np.float32).reshape(len(languages), DIMENSIONS),
-                 weights.astype(np.float32), np.array(floors))
+                 weights, np.array(floors))
 
 
 def predicted(text: Column, model: Model) -> Column:
