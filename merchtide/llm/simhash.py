@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchtide.llm.bitmap import bitmap_of, may_hold
 from merchtide.llm.common import boxed, prepared
 from merchtide.llm.components import connected
 from merchtide.sources.storage import stage
@@ -38,6 +39,8 @@ BLOCK = 1 << 15
 HASHED_AT_ONCE = 1 << 16
 # Rows gathered before their buckets are compared; a single larger bucket is still kept whole.
 COMPARED_AT_ONCE = 1 << 15
+# Bits of the filter for the rows that go; its size does not depend on their number.
+FILTER_BITS = 1 << 22
 # Work of one row sent to a bucket and of one comparison in it.
 ROW_COST, PAIR_COST = 1.0, 0.02
 
@@ -310,4 +313,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .groupBy(F.coalesce("root", "print")).agg(F.min("first").alias("first"))
         .select(F.col("first.number").alias("number"))
     )
-    return rows.join(kept, "number", "left_semi").select("row.*")
+    gone = stage(slim.select("number").join(kept, "number", "left_anti").withColumn("hash", F.xxhash64("number")), "gone")
+    # Rows outside a bitmap of what goes stay without a join, so few texts are shuffled.
+    bitmap = stage(bitmap_of(gone, FILTER_BITS), "bitmap").select("bitmap").scalar()
+    maybe = may_hold(bitmap, F.xxhash64("number"), FILTER_BITS)
+    sure = rows.where(~maybe)
+    return sure.union(rows.where(maybe).join(gone.select("number"), "number", "left_anti").select(*rows.columns)).select("row.*")
