@@ -231,11 +231,15 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length
     prepared(docs.sparkSession)
     found = stage(protected(docs, doc_id, text), "protected")
     spans = stage(all_spans(found, docs, text), "spans").withColumnRenamed("key", "span_key")
-    rows = docs.select(boxed(docs), _text_key(F.col(text)).alias("text_key"))
-    joined = rows.join(spans, F.col("text_key") == F.col("span_key"), "left")
+    rows = docs.select(boxed(docs))
     own = F.col("row")[text]
-    joined = joined.withColumn("new_text", F.when(F.col("span_key").isNull() | own.isNull(), own).otherwise(
-        rewritten(own, F.col("spans"), F.col("terms"))))
+    # Every kind has a digit or an at sign, so other texts stay as they are without a join.
+    touched = F.coalesce(F.regexp_like(own, F.lit("[0-9@]")), F.lit(False))
+    joined = rows.where(touched).withColumn("text_key", _text_key(own)).join(
+        spans, F.col("text_key") == F.col("span_key"), "left")
+    joined = joined.withColumn("new_text", F.when(F.col("span_key").isNull(), own).otherwise(
+        rewritten(own, F.col("spans"), F.col("terms")))).select("row", "new_text")
+    joined = joined.union(rows.where(~touched).withColumn("new_text", own))
     columns = []
     for name, kind in docs.dtypes:
         if name == text:
