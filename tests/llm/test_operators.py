@@ -1,0 +1,118 @@
+"""The text operators against brute force, and on nulls, empty texts, ties and empty tables."""
+
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from merchtide.llm import (
+    chat, decontaminate, language, licenses, mixing, neighbours, sanitise, simhash, toxicity, warc)
+
+DOCS = "doc_id long, text string, lang string, source string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, f"word{i} alpha beta gamma delta number {i} and more text here", "en", "a") for i in range(8)]
+    rows += [(20, "Same text for all of us today", "en", None), (21, "same text for all of us today", "de", "b"),
+             (21, "same text for all of us today", "de", "b"), (None, None, None, None), (30, "", "en", "b")]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_simhash_components_match_brute_force(docs):
+    rows = simhash.near_duplicates(docs).collect()
+    assert len(rows) == docs.count()
+    prints = [int(r.fingerprint, 16) for r in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if (a ^ b).bit_count() <= 3:
+                    group[i] = group[j] = min(group[i], group[j])
+    for i, r in enumerate(rows):
+        ids = [x.doc_id for x, g in zip(rows, group) if g == group[i] and x.doc_id is not None]
+        assert r.component_id == min(ids, default=None)
+
+
+def test_one_of_each_keeps_one_row(docs):
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert [r.doc_id for r in kept.collect()].count(21) == 0
+
+
+def test_units_cover_the_distance():
+    sample = np.random.default_rng(1).integers(0, 2**63, 500, dtype=np.uint64)
+    for total in (1000, 10**9):
+        plan = simhash.plan_parts(sample, total)
+        assert sum(p.units for p in plan) == simhash.MAX_DISTANCE + 1
+
+
+def test_decontamination_tolerates_substitutions(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    changed = item.replace("w6 ", "x ")
+    items = spark.createDataFrame([(1, item), (2, "too short"), (3, None)], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, f"before {item} after"), (2, f"before {changed} after"), (3, "clean text"), (None, None),
+         (4, "this is too short indeed")], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminations(docs, items).collect()}
+    assert found == {(1, 1), (2, 1), (4, 2)}
+    assert {r.doc_id for r in decontaminate.clean(docs, items).collect()} == {3, None}
+
+
+def test_personal_data_spans(spark):
+    texts = ["mail a.b@c.org_x@d.com now", "4111 1111 1111 1111", "1.2.3.4 300.1.1.1", "+1 (017) 555-7713", None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = rows.select("doc_id", sanitise.listed(sanitise.found_spans(F.col("text"))).alias("s")).orderBy("doc_id")
+    assert [r.s for r in found.collect()] == ["email:5:14,email:14:22", "card:0:19", "ip:0:7", "phone:0:17", "", ""]
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(rows).collect()}
+    assert clean[2] == "[IP] 300.1.1.1" and clean[4] is None and clean[5] == ""
+
+
+def test_mix_reaches_targets(docs):
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == docs.count()
+    assert all(0 <= r.taken <= 2 * r.size for r in rows)
+
+
+def test_chat_round_trip(spark):
+    text = "\\### Assistant: </turn>\n &lt; ok"
+    rows = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text), (1, 2, None, None)],
+                                 "conv_id long, turn long, role string, text string")
+    out = chat.format_conversations(rows.withColumn("parts", chat.text_part(F.col("text"))))
+    turns = out.select(chat.read_back(F.col("formatted")).alias("t")).first().t
+    assert [(t.role, t.text) for t in turns] == [("user", text), ("assistant", text), ("", "")]
+
+
+def test_license_index_equals_counting():
+    index = licenses.build_index({}, licenses.TEMPLATES, licenses.THRESHOLD)
+    for text in [*licenses.TEMPLATES.values(), "released under the license", "nothing here"]:
+        block = set(licenses.words_of(text))
+        share = {n: len(block & set(t)) / len(t) for n, t in index.ordered.items()}
+        assert index.matches(block) == {n: s for n, s in share.items() if s >= licenses.THRESHOLD - 1e-9}
+
+
+def test_nearest_leaves_bad_vectors_out(spark):
+    rows = [(i, [1.0, float(i), 0.5]) for i in range(7)] + [(50, None), (51, [0.0, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(vectors, vectors.where("vec_id in (0, 50, 51)")).collect()
+    assert [(r.rank, r.vec_id) for r in sorted(found, key=lambda r: r.rank)] == [(n, n) for n in range(1, 6)]
+
+
+def test_models_on_empty_tables(spark, docs):
+    none = docs.limit(0)
+    model = language.fit(none)
+    assert model.predict(["text"]).loc[0, "lang_pred"] == language.UNKNOWN
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels).score(None) == (0.0, [])
+
+
+def test_warc_links_records(spark):
+    pages = spark.createDataFrame([(1, "http://x", "<p>a &amp; b</p><script>x</script>"), (None, None, None)],
+                                  "page_id long, url string, html string")
+    source = warc.responses(pages)
+    ids = {r.record_id for r in source.collect()}
+    records = warc.derived(source).collect()
+    assert len(records) == 4 and {r.refers_to for r in records} == ids
+    assert [r.block for r in records if r.page_id == 1 and r.warc_type == "conversion"] == ["a & b"]
+    assert all(re.fullmatch(r"sha256:[0-9a-f]{64}", r.block_digest) for r in records)
