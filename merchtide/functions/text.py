@@ -96,7 +96,8 @@ def dot(a: Column, b: Column) -> Column:
 
 def mentions_key(text: Column, key: Column) -> Column:
     """True when any ``_``-separated part of the key occurs in the text."""
-    return F.exists(F.split(key, "_"), lambda part: F.contains(F.lower(text), part))
+    return once(
+        F.lower(text), lambda low: F.exists(F.split(key, "_"), lambda part: F.contains(low, part)))
 
 
 def first_occurrences(items: Column) -> Column:

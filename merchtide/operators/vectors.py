@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchtide.functions import text as tx
-from merchtide.functions.numeric import rounded
 from merchtide.sources.storage import stage
 
-# A reference set up to this many rows travels to every task as one value.
-PACK_ROWS = 2048
+# Bytes of a block of the reference set and of a lot of events; one of each meets in a task.
+BLOCK_BYTES = 1 << 20
+LOT_BYTES = 1 << 25
 
 
 def slot_sums(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFrame:
@@ -44,9 +45,9 @@ def vectorize(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFram
     )
 
 
-Score = Callable[[Column, Column], Column]
 SCORE_DIGITS = 4
 _CELLS = 1 << 20  # scores held at a time by one task
+TERMS = "array<struct<term:string,points:double>>"
 
 
 def with_nearest(
@@ -57,188 +58,166 @@ def with_nearest(
     position: str,
     kb_vector: str,
     payload: Sequence[str] = (),
-    bonus: Score | None = None,
-    uses: Sequence[str] = (),
+    bonus: Column | None = None,
+    bonus_on: str | None = None,
     top: int = 3,
-    pack_rows: int = PACK_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Add ``matches``: the reference rows with the greatest dot product, best first.
 
-    ``bonus`` adds points from the event's columns in ``uses`` and the reference
-    row. Scores are rounded, ties keep the reference order. A set of up to
-    ``pack_rows`` rows goes to every task as one matrix and whole batches of
-    events are scored at a time; a larger one takes the blocked way of
-    ``with_matches``.
+    ``key`` identifies an event and ``position`` a reference row: unique and never NULL.
+    ``bonus`` lists terms of an event with the points that a reference row gets whose
+    ``bonus_on`` is that term. Scores are rounded, ties keep the reference order. An event
+    without a vector, and every event of an empty reference set, has an empty list;
+    reference rows without a vector are left out.
     """
-    extra = [c for c in payload if c != kb_vector]
-    kb = stage(kb.select(position, kb_vector, *extra), "reference")
-    if kb.limit(pack_rows + 1).count() > pack_rows:
-
-        def score(event: Column, entry: Column) -> Column:
-            likeness = tx.dot(event[vector], entry[kb_vector])
-            total = likeness if bonus is None else likeness + bonus(event, entry)
-            return rounded(total, SCORE_DIGITS)
-
-        return with_matches(
-            events, key, kb, position, score, [vector, *uses], [kb_vector, *extra], top, pack_rows
-        )
-    # At most pack_rows rows, checked above.
-    rows = kb.select(position, kb_vector).orderBy(position).collect()
-    matrix = np.array([r[1] for r in rows], dtype=float).reshape(len(rows), -1)
-    packed = kb.agg(F.sort_array(F.collect_list(F.struct(position, *extra)))).scalar()
-    if bonus is None:
-        points = F.array().cast("array<double>")
-    else:
-        points = tx.once(
-            F.struct(*uses),
-            lambda e: F.transform("_kb", lambda k: bonus(e, k).cast("double")),
-        )
-    asked = events.withColumn("_kb", packed).withColumn("_points", points).drop("_kb")
-    scored = asked.mapInArrow(
-        _scorer(matrix, top, vector, "_points"),
-        T.StructType([
-            *asked.schema,
-            T.StructField("_score", T.ArrayType(T.DoubleType())),
-            T.StructField("_place", T.ArrayType(T.IntegerType())),
-        ]),
-    )
-    pairs = F.arrays_zip(F.col("_score").alias("score"), F.col("_place").alias("place"))
-    return scored.withColumn("_kb", packed).withColumn(
-        "matches",
-        F.transform(
-            pairs,
-            lambda t: F.struct(
-                t["score"].alias("score"), F.col("_kb")[t["place"]].alias("entry")
-            ),
-        ),
-    ).select(*events.columns, "matches")
-
-
-def _scorer(matrix: np.ndarray, top: int, vector: str, points: str):
-    """Scores Arrow batches of events against a fixed matrix, one row per entry.
-
-    Adds the best scores and the rows they belong to; the other columns pass
-    through untouched.
-    """
-    scale = 10.0**SCORE_DIGITS
-    step = max(1, _CELLS // max(1, len(matrix)))
-
-    def best(left: np.ndarray, added: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        total = np.zeros((len(left), len(matrix)))
-        # One position after the other, so that sums round as a plain loop's do.
-        for i in range(left.shape[1]):
-            total += left[:, i : i + 1] * matrix[:, i]
-        if added.shape[1]:
-            total += added
-        total = np.rint(total * scale) / scale
-        order = np.argsort(-total, axis=1, kind="stable")[:, :top]
-        return np.take_along_axis(total, order, axis=1), order.astype(np.int32)
-
-    def rows_of(batch: pa.RecordBatch, name: str) -> np.ndarray:
-        flat = batch.column(name).flatten().to_numpy(zero_copy_only=False)
-        return flat.reshape(batch.num_rows, -1)
-
-    def lists(parts: list[np.ndarray]) -> pa.Array:
-        cells = np.concatenate(parts)
-        offsets = np.arange(len(cells) + 1, dtype=np.int32) * cells.shape[1]
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells.ravel()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, added = rows_of(batch, vector), rows_of(batch, points)
-            spans = range(0, batch.num_rows, step)
-            found = [best(left[i : i + step], added[i : i + step]) for i in spans]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, lists([f[0] for f in found]), lists([f[1] for f in found])],
-                names=[*batch.schema.names, "_score", "_place"],
-            )
-
-    return run
-
-
-def with_matches(
+    extra = [c for c in dict.fromkeys(payload) if c not in (position, kb_vector)]
+    kb = stage(kb.where(F.col(kb_vector).isNotNull()).select(position, kb_vector, *extra), "reference")
+    events = stage(events, "events")
+    terms = F.array() if bonus is None else bonus
+    asked = events.where(F.col(vector).isNotNull()).select(
+        F.col(key).alias("key"), F.col(vector).alias("vector"), terms.cast(TERMS).alias("terms"))
+    known = kb.select(
+        F.col(position).alias("position"), F.col(kb_vector).alias("vector"),
+        F.lit(None).cast("string").alias("term") if bonus_on is None else F.col(bonus_on).alias("term"))
+    scored = _meet(asked, known, F.size("vector") * 8, _scorer(top), "score double", block_bytes)
+    # The place limit is applied before the shuffle too, so a key never holds a row per block.
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "position"))
+    best = scored.withColumn("place", place).where(F.col("place") <= top)
+    entry = kb.select(F.col(position).alias("position"), F.struct(position, *extra).alias("entry"))
+    ranked = best.join(entry, "position").select(
+        "key", F.struct("place", F.struct("score", "entry").alias("match")).alias("m"))
+    return _listed(events, key, ranked)
+
+
+def with_mentions(
     events: DataFrame,
     key: str,
+    text: str,
     kb: DataFrame,
     position: str,
-    score: Score,
-    uses: Sequence[str],
-    payload: Sequence[str],
-    top: int = 3,
-    pack_rows: int = PACK_ROWS,
+    words: Column,
+    payload: Sequence[str] = (),
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Add ``matches``: the best ``top`` reference rows per event, best first.
-
-    ``key`` identifies an event: unique and never NULL. ``score`` gets the event,
-    with the columns in ``uses``, and one reference row; a NULL score leaves the
-    row out. Ties keep the reference order. Each event is scored in place against
-    the packed reference set: no join, no pair rows. A set above ``pack_rows`` is
-    cut into blocks of that size, every event meets every block by an equality
-    join on a salted block number, and only the best of each block goes on.
+    """Add ``matches``: every reference row with a word that occurs in the text, in order.
+
+    ``key`` and ``position`` as for ``with_nearest``; ``words`` is a list of the reference
+    row. The text is lower-cased, a NULL text mentions nothing.
     """
-    fields = F.struct(position, *payload)
-    kb = stage(kb.select(position, *payload), "reference")
-    if kb.limit(pack_rows + 1).count() <= pack_rows:
-        packed = kb.agg(F.sort_array(F.collect_list(fields))).scalar()
-        held = events.withColumn("_kb", packed)
-        return held.withColumn(
-            "matches", _best(uses, F.col("_kb"), score, position, top)
-        ).drop("_kb")
-    return _blocked(events, key, kb, fields, position, score, uses, top, pack_rows)
-
-
-def _best(uses: Sequence[str], block: Column, score: Score, position: str, top: int) -> Column:
-    """The best rows of a block for the event at hand."""
-
-    def places(event: Column) -> Column:
-        scored = F.transform(
-            block,
-            lambda k, i: F.struct(
-                (-score(event, k)).alias("worse"), k[position].alias("position"), i.alias("i")
-            ),
-        )
-        known = F.filter(scored, lambda s: s["worse"].isNotNull())
-        return F.slice(F.array_sort(known), 1, top)
-
-    best = tx.once(F.struct(*uses), places)
-    return F.transform(
-        best, lambda s: F.struct((-s["worse"]).alias("score"), block[s["i"]].alias("entry"))
-    )
+    kb = stage(kb.select(position, *payload, words.alias("_words")), "reference")
+    events = stage(events, "events")
+    asked = events.where(F.col(text).isNotNull()).select(
+        F.col(key).alias("key"), F.lower(text).alias("text"))
+    known = kb.select(F.col(position).alias("position"), F.explode("_words").alias("word")).where("word IS NOT NULL")
+    told = _meet(asked, known, F.length("word") + 16, _finder, "", block_bytes)
+    entry = kb.select(
+        F.col(position).alias("position"), F.struct(F.struct(position, *payload).alias("entry")).alias("match"))
+    ordered = told.join(entry, "position").select("key", F.struct("position", "match").alias("m"))
+    return _listed(events, key, ordered)
+
+
+def _meet(asked: DataFrame, known: DataFrame, weight: Column, run: Callable, added: str,
+          block_bytes: int) -> DataFrame:
+    """Every lot of ``asked`` meets every block of ``known`` in a group of its own.
+
+    Both are bounded in bytes, so a group fits a task at any size, and a block travels once
+    per lot and not per row. ``run`` turns the two into (key, position) rows.
+    """
+    def parts(rows: DataFrame, size: Column, most: int) -> int:
+        total = rows.agg(F.sum(size.cast("long"))).first()[0] or 0
+        return max(1, -(-total // most))
+
+    wide = F.octet_length("text") if "text" in asked.columns else F.size("vector") * 8
+    blocks, lots = parts(known, weight, block_bytes), parts(asked, wide + 32, LOT_BYTES)
+    left = asked.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(lots)).cast("int")).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = known.withColumn("_block", F.pmod(F.xxhash64("position"), F.lit(blocks)).cast("int")).withColumn(
+        "_lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
+    schema = T.StructType([
+        T.StructField("key", asked.schema["key"].dataType),
+        T.StructField("position", known.schema["position"].dataType),
+        *T.StructType.fromDDL(added),
+    ])
+    group = ["_block", "_lot"]
+    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(run, schema)
+
+
+def _listed(events: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """Add ``matches`` from ``found(key, m)``, in the order of ``m``; none is an empty list."""
+    lists = found.groupBy("key").agg(F.sort_array(F.collect_list("m")).alias("_m")).select(
+        F.col("key").alias("_key"), F.transform("_m", lambda m: m["match"]).alias("matches"))
+    none = F.array().cast(lists.schema["matches"].dataType)
+    return events.join(lists, F.col(key) == F.col("_key"), "left").select(
+        *[F.col(f"`{c}`") for c in events.columns], F.coalesce("matches", none).alias("matches"))
+
+
+def _scorer(top: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Scores a lot of events against a block, and keeps the best of each event."""
+    scale = 10.0**SCORE_DIGITS
 
+    def rows_of(table: pa.Table) -> np.ndarray:
+        flat = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return flat.astype(float).reshape(table.num_rows, -1)
+
+    def points(asked: pa.Table, of_entry: np.ndarray, terms: pa.Array) -> np.ndarray:
+        listed = asked["terms"].combine_chunks()
+        flat = listed.flatten()
+        row = np.repeat(np.arange(len(listed)), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
+        code = pc.index_in(flat.field("term"), value_set=terms).fill_null(-1).to_numpy()
+        table = np.zeros((len(listed), len(terms) + 1))
+        np.add.at(table, (row, code), flat.field("points").to_numpy(zero_copy_only=False))
+        table[:, -1] = 0.0  # what no entry has
+        return table[:, of_entry]
+
+    def run(asked: pa.Table, known: pa.Table) -> pa.Table:
+        found = []
+        if asked.num_rows and known.num_rows:
+            known = known.sort_by("position")
+            matrix = rows_of(known)
+            of = known["term"].combine_chunks()
+            terms = pc.drop_null(pc.unique(of))
+            of_entry = pc.index_in(of, value_set=terms).fill_null(-1).to_numpy()
+            step = max(1, _CELLS // len(matrix))
+            for at in range(0, asked.num_rows, step):
+                some = asked.slice(at, step)
+                left = rows_of(some)
+                total = np.zeros((len(left), len(matrix)))
+                # One position after the other, so that sums round as a plain loop's do.
+                for i in range(left.shape[1]):
+                    total += left[:, i : i + 1] * matrix[:, i]
+                if len(terms):
+                    total += points(some, of_entry, terms)
+                total = np.rint(total * scale) / scale
+                order = np.argsort(-total, axis=1, kind="stable")[:, :top]
+                found.append(pa.table({
+                    "key": some["key"].take(pa.array(np.repeat(np.arange(len(left)), order.shape[1]))),
+                    "position": known["position"].take(pa.array(order.ravel())),
+                    "score": np.take_along_axis(total, order, axis=1).ravel(),
+                }))
+        if found:
+            return pa.concat_tables(found)
+        return pa.table({
+            "key": asked["key"].slice(0, 0), "position": known["position"].slice(0, 0),
+            "score": pa.array([], pa.float64())})
 
-def _blocked(events, key, kb, fields, position, score, uses, top, pack_rows) -> DataFrame:
-    rows = kb.count()
-    blocks = -(-rows // pack_rows)
-    spread = max(1, int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks + 1)
-    block_of = F.pmod(F.xxhash64(position), F.lit(blocks)).cast("int")
-    packed = (
-        kb.groupBy(block_of.alias("_block"))
-        .agg(F.sort_array(F.collect_list(fields)).alias("_kb"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    )
-    events = stage(events, "events")
-    met = (
-        events.select(key, *[c for c in uses if c != key])
-        .withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(spread)).cast("int"))
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .join(packed, ["_block", "_salt"])
-        .select(key, _best(uses, F.col("_kb"), score, position, top).alias("_best"))
-    )
-    ordered = F.array_sort(
-        F.transform(
-            F.flatten(F.collect_list("_best")),
-            lambda s: F.struct(
-                (-s["score"]).alias("worse"), s["entry"][position].alias("position"),
-                s["entry"].alias("entry"),
-            ),
-        )
-    )
-    merged = met.groupBy(key).agg(
-        F.transform(
-            F.slice(ordered, 1, top),
-            lambda s: F.struct((-s["worse"]).alias("score"), s["entry"].alias("entry")),
-        ).alias("matches")
-    )
-    return events.join(merged, key)
+    return run
+
+
+def _finder(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """(key, position) of each event whose text holds a word of the block's entry."""
+    texts = asked["text"].combine_chunks()
+    entries = known["position"].combine_chunks()
+    words = known["word"].combine_chunks()
+    pairs = [np.empty(0, np.int64)]
+    if len(texts) and len(entries):
+        first = pc.index_in(entries, value_set=pc.unique(entries)).to_numpy()
+        entries = pc.unique(entries)
+        distinct = pc.unique(words)
+        code = pc.index_in(words, value_set=distinct).to_numpy()
+        for n, word in enumerate(distinct.to_pylist()):
+            rows = np.flatnonzero(pc.match_substring(texts, word).to_numpy(zero_copy_only=False))
+            pairs.append((rows[:, None] * len(entries) + first[code == n]).ravel())
+    pairs = np.unique(np.concatenate(pairs))
+    row, entry = np.divmod(pairs, max(1, len(entries)))
+    return pa.table({"key": asked["key"].take(pa.array(row)), "position": entries.take(pa.array(entry))})

@@ -15,7 +15,7 @@ from merchtide.functions import text as tx
 from merchtide.functions.numeric import ratio, rounded, units
 from merchtide.model import History
 from merchtide.operators.rank import percentiles
-from merchtide.operators.vectors import PACK_ROWS, vectorize, with_matches, with_nearest
+from merchtide.operators.vectors import vectorize, with_mentions, with_nearest
 from merchtide.sources import tables
 from merchtide.sources.storage import stage, staging
 
@@ -163,6 +163,21 @@ def duration_history(events: DataFrame, registry: DataFrame, now: Column | None
     )
 
 
+def _assumed(rules: Mapping[str, History]) -> dict[str, Column]:
+    """Each history column by the first rule whose text occurs in the batch name, else NULL."""
+    fields = {
+        "avg_duration_min": "avg", "p90_duration_min": "p90", "p95_duration_min": "p95",
+        "historical_success_rate_pct": "success", "historical_sla_miss_count_30d": "misses",
+    }
+
+    def pick(field: str) -> Column:
+        hits = [F.when(F.contains("batch_id", F.lit(part)), F.lit(getattr(record, field)))
+                for part, record in rules.items()]
+        return F.coalesce(*hits, F.lit(None))
+
+    return {name: pick(field) for name, field in fields.items()}
+
+
 def assumed_history(registry: DataFrame,
                     rules: Mapping[str, History] = model.ASSUMED_HISTORY) -> DataFrame:
     """History by a part of the batch name, for a start without any events.
@@ -170,67 +185,43 @@ def assumed_history(registry: DataFrame,
     The first rule whose text occurs in the name applies; the empty text always
     does.
     """
+    assumed = _assumed(rules)
+    assumed["historical_sla_miss_count_30d"] = assumed["historical_sla_miss_count_30d"].cast("long")
+    return registry.select("batch_id", *[c.alias(name) for name, c in assumed.items()])
 
-    def pick(value) -> Column:
-        chosen = None
-        for part, record in rules.items():
-            hit = F.contains("batch_id", F.lit(part))
-            got = F.lit(value(record))
-            chosen = F.when(hit, got) if chosen is None else chosen.when(hit, got)
-        return chosen
 
-    return registry.select(
-        "batch_id",
-        pick(lambda r: r.avg).alias("avg_duration_min"),
-        pick(lambda r: r.p90).alias("p90_duration_min"),
-        pick(lambda r: r.p95).alias("p95_duration_min"),
-        pick(lambda r: r.success).alias("historical_success_rate_pct"),
-        pick(lambda r: r.misses).cast("long").alias("historical_sla_miss_count_30d"),
-    )
-
-
-def with_history(inputs: DataFrame, history: DataFrame) -> DataFrame:
-    """Attach each batch's history, or the whole default record."""
-    unknown = model.UNKNOWN_HISTORY
-    defaults = {
-        "avg_duration_min": unknown.avg,
-        "p90_duration_min": unknown.p90,
-        "p95_duration_min": unknown.p95,
-        "historical_success_rate_pct": unknown.success,
-        "historical_sla_miss_count_30d": unknown.misses,
-    }
-    known = history.select("batch_id", *defaults, F.lit(True).alias("_known"))
+def with_history(inputs: DataFrame, history: DataFrame,
+                 rules: Mapping[str, History] | None = None) -> DataFrame:
+    """Attach each batch's observed history, else the one assumed by name, else the default.
+
+    Without ``rules`` nothing is assumed by name. A record is taken whole, never mixed.
+    """
+    assumed = _assumed({**(rules or {}), "": (rules or {}).get("", model.UNKNOWN_HISTORY)})
+    known = history.select("batch_id", *assumed, F.lit(True).alias("_known"))
     joined = inputs.join(known, "batch_id", "left")
     filled = {
-        name: F.when(F.col("_known"), F.col(name)).otherwise(F.lit(value))
-        for name, value in defaults.items()
+        name: F.when(F.col("_known"), F.col(name)).otherwise(value)
+        for name, value in assumed.items()
     }
     return joined.withColumns(filled).drop("_known")
 
 
-def with_process_delay(inputs: DataFrame, health: DataFrame,
-                       pack_rows: int = PACK_ROWS) -> DataFrame:
+def with_process_delay(inputs: DataFrame, health: DataFrame) -> DataFrame:
     """Total delay over a batch's processes, and the ones that are not healthy.
 
-    A process without health counts as UNKNOWN with no delay. Health up to
-    ``pack_rows`` rows is looked up in place; a larger table is joined.
+    A process without health counts as UNKNOWN with no delay. A process reported twice
+    counts once, with the report of the longest delay.
     """
-    if health.limit(pack_rows + 1).count() <= pack_rows:
-        entry = F.struct("process", F.struct("status", "delay_min", "resource", "message"))
-        lookup = health.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-        looked = inputs.withColumn("_health", lookup).withColumn(
-            "_seen",
-            F.transform("processes", lambda p: _report(p, F.col("_health")[p])),
-        ).drop("_health")
-    else:
-        steps = inputs.select("batch_id", F.posexplode("processes").alias("_pos", "process"))
-        met = steps.join(health, "process", "left")
-        seen = met.groupBy("batch_id").agg(
-            F.array_sort(
-                F.collect_list(F.struct("_pos", _report(F.col("process"), met).alias("r")))
-            ).alias("_steps")
-        ).select("batch_id", F.transform("_steps", lambda s: s["r"]).alias("_seen"))
-        looked = inputs.join(seen, "batch_id", "left")
+    report = F.struct("delay_min", "status", "resource", "message")
+    known = health.groupBy("process").agg(F.max(report).alias("_r")).select("process", "_r.*")
+    steps = inputs.select("batch_id", F.posexplode("processes").alias("_pos", "process"))
+    met = steps.join(known, "process", "left")
+    seen = met.groupBy("batch_id").agg(
+        F.array_sort(
+            F.collect_list(F.struct("_pos", _report(F.col("process"), met).alias("r")))
+        ).alias("_steps")
+    ).select("batch_id", F.transform("_steps", lambda s: s["r"]).alias("_seen"))
+    looked = inputs.join(seen, "batch_id", "left")
     seen = F.coalesce("_seen", F.array().cast(DEGRADED_TYPE))
     total = F.aggregate(
         seen, F.lit(0).cast("long"), lambda acc, s: acc + units(s["delay_min"], DELAY_DIGITS)
@@ -243,7 +234,7 @@ def with_process_delay(inputs: DataFrame, health: DataFrame,
 
 
 def _report(process: Column, health) -> Column:
-    """One process's state; ``health`` is a struct column or a joined frame."""
+    """One process's state from the joined frame ``health``."""
     return F.struct(
         process.alias("process"),
         F.coalesce(health["status"], F.lit("UNKNOWN")).alias("status"),
@@ -313,8 +304,11 @@ def risk_level(score: Column) -> Column:
 
 
 def predictions(inputs: DataFrame, history: DataFrame, health: DataFrame) -> DataFrame:
-    """One row per batch with its estimate, score and level."""
-    joined = with_process_delay(with_history(inputs, history), health)
+    """One row per batch with its estimate, score and level.
+
+    A batch without observed runs has the history assumed by its name.
+    """
+    joined = with_process_delay(with_history(inputs, history, model.ASSUMED_HISTORY), health)
     timed = with_completion(with_timing(joined))
     scored = timed.withColumn(
         "risk_score",
@@ -418,23 +412,28 @@ def query_text() -> Column:
     return F.concat_ws(" ", "batch_id", "risk_level", F.concat_ws(" ", "processes"), trouble)
 
 
-def process_bonus(event: Column, entry: Column) -> Column:
-    """Points per involved and per degraded process that is the entry's."""
-    involved = F.size(F.filter(event["processes"], lambda p: p == entry["process"]))
-    degraded = F.size(
-        F.filter(event["degraded_processes"], lambda d: d["process"] == entry["process"])
-    )
-    return involved * 0.25 + degraded * 0.40
+def process_bonus() -> Column:
+    """Points for entries of each involved and each degraded process of a prediction."""
+    none = F.array().cast("array<string>")
+    involved = F.coalesce("processes", none)
+    degraded = F.coalesce(F.transform("degraded_processes", lambda d: d["process"]), none)
 
+    def points(p: Column) -> Column:
+        named = F.size(F.filter(involved, lambda x: x == p))
+        late = F.size(F.filter(degraded, lambda x: x == p))
+        return named * 0.25 + late * 0.40
 
-def with_knowledge(found: DataFrame, kb: DataFrame, top: int = 3,
-                   pack_rows: int = PACK_ROWS) -> DataFrame:
+    return F.transform(
+        F.array_union(involved, degraded),
+        lambda p: F.struct(p.alias("term"), points(p).alias("points")))
+
+
+def with_knowledge(found: DataFrame, kb: DataFrame, top: int = 3, **options) -> DataFrame:
     """Add ``matches``, the best knowledge entries per prediction."""
-    asked = vectorize(found.select("batch_id", query_text().alias("_q")), "batch_id", "_q")
     return with_nearest(
-        found.join(asked.withColumnRenamed("vector", "_query"), "batch_id"),
+        found.withColumn("_query", tx.hashed_vector(query_text())),
         "batch_id", "_query", kb, "kb_id", "embedding_vector", MATCH_COLUMNS,
-        process_bonus, ["processes", "degraded_processes"], top, pack_rows,
+        process_bonus(), "process", top, **options,
     ).drop("_query")
 
 
@@ -487,10 +486,9 @@ def summary_text() -> Column:
     )
 
 
-def recommendations(found: DataFrame, kb: DataFrame, top: int = 3,
-                    pack_rows: int = PACK_ROWS) -> DataFrame:
+def recommendations(found: DataFrame, kb: DataFrame, top: int = 3) -> DataFrame:
     """Rows of the recommendation table for the predictions that call for one."""
-    matched = with_knowledge(triggered(found), kb, top, pack_rows)
+    matched = with_knowledge(triggered(found), kb, top)
     return matched.select(
         F.md5(F.concat_ws("|", F.lit("rca"), "batch_id", ck.iso(F.col("prediction_time"))))
         .alias("recommendation_id"),
@@ -507,16 +505,13 @@ def recommendations(found: DataFrame, kb: DataFrame, top: int = 3,
 
 
 def with_context(events: DataFrame, key: str, text: str, kb: DataFrame, kb_key: str,
-                 resolution: str, position: str, pack_rows: int = PACK_ROWS) -> DataFrame:
+                 resolution: str, position: str, **options) -> DataFrame:
     """Add ``context``: every runbook whose key has a word in the text, in order.
 
     All matches are kept; an event without one gets the default sentence.
     """
-    found = with_matches(
-        events, key, kb, position,
-        lambda e, k: F.when(tx.mentions_key(e[text], k[kb_key]), F.lit(1)),
-        [text], [kb_key, resolution], top=2**31 - 1, pack_rows=pack_rows,
-    )
+    found = with_mentions(
+        events, key, text, kb, position, F.split(kb_key, "_"), [kb_key, resolution], **options)
     lines = F.transform(
         "matches",
         lambda m: F.concat(

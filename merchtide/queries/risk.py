@@ -286,6 +286,22 @@ def _(d):
     return document_matches(d, 1).select("doc_id", best.alias("item_id"))
 
 
+@query("jn09_conversation_matches", sql(
+    "SELECT doc_id, turn_id, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id "
+    "ORDER BY score DESC, turn_id) AS place FROM cbs) WHERE place <= 3"))
+def _(d):
+    turns = d.raw("conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("turn_id"), F.coalesce("text", F.lit("")).alias("text"))
+    turns = turns.groupBy("turn_id").agg(F.max("text").alias("text"))
+    docs = vectorize(d.raw("documents"), "doc_id", "text")
+    # Small blocks, so that the set is spread over several at every size.
+    found = with_nearest(
+        docs, "doc_id", "vector", vectorize(turns, "turn_id", "text"), "turn_id", "vector",
+        block_bytes=1 << 14)
+    rows = found.select("doc_id", F.explode("matches").alias("m"))
+    return rows.select("doc_id", "m.entry.turn_id", "m.score")
+
+
 # --- answers --------------------------------------------------------------
 
 

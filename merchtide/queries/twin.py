@@ -53,6 +53,14 @@ SLOT = "CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % 32 AS INTEGER)"
 SIGN = "CASE WHEN ('0x' || substr(md5(t), 9, 2))::BIGINT % 2 = 0 THEN 1 ELSE -1 END"
 
 
+def assumed(field: str) -> str:
+    """The history value that the name of batch ``i`` stands for."""
+    when = " ".join(
+        f"WHEN contains(i.batch_id, {text(part)}) THEN {getattr(record, field)}"
+        for part, record in model.ASSUMED_HISTORY.items())
+    return f"CASE {when} END"
+
+
 def vectors(name: str, source: str, key: str, column: str) -> dict[str, str]:
     """CTEs that end in ``name`` (key, i, c, v): counts and unit values per position."""
     return {
@@ -297,6 +305,14 @@ CTES: dict[str, str] = {
           "coalesce(h.historical_success_rate_pct, 95e0) AS historical_success_rate_pct, "
           "coalesce(h.historical_sla_miss_count_30d, 0) AS historical_sla_miss_count_30d "
           "FROM inp i LEFT JOIN his h ON i.batch_id = h.batch_id",
+    "wha": "SELECT i.*, coalesce(h.avg_duration_min, "
+           + assumed("avg") + ") AS avg_duration_min, coalesce(h.p90_duration_min, "
+           + assumed("p90") + ") AS p90_duration_min, coalesce(h.p95_duration_min, "
+           + assumed("p95") + ") AS p95_duration_min, coalesce(h.historical_success_rate_pct, "
+           + assumed("success") + ") AS historical_success_rate_pct, "
+           "coalesce(h.historical_sla_miss_count_30d, " + assumed("misses")
+           + ") AS historical_sla_miss_count_30d "
+           "FROM inp i LEFT JOIN his h ON i.batch_id = h.batch_id",
     "stp": "SELECT batch_id, unnest(processes) AS process, generate_subscripts(processes, 1) AS pos "
            "FROM inp",
     "stph": "SELECT s.batch_id, s.pos, s.process, coalesce(h.status, 'UNKNOWN') AS status, "
@@ -311,7 +327,7 @@ CTES: dict[str, str] = {
            + minutes("data_available_time", "prediction_time") + " AS since_data, "
            + minutes("actual_start_time", "prediction_time") + " AS since_start, "
            + minutes("prediction_time", "sla_due_time") + " AS remaining "
-           "FROM wh w JOIN dly d ON w.batch_id = d.batch_id",
+           "FROM wha w JOIN dly d ON w.batch_id = d.batch_id",
     "ttl": "SELECT *, p95_duration_min + resource_delay_min + greatest(0e0, since_start - avg_duration_min) "
            "AS total FROM tim",
     "eta": "SELECT *, " + plus_minutes("actual_start_time", "total") + " AS eta FROM ttl",
@@ -345,6 +361,11 @@ CTES: dict[str, str] = {
     **vectors("bv", "benchmark", "item_id", "text"),
     "dbs": "SELECT d.doc_id, b.item_id, " + rnd("SUM(d.v * b.v)", 4) + " AS score "
            "FROM dv d JOIN bv b ON d.i = b.i GROUP BY 1, 2",
+    "cv0": "SELECT concat(conv_id, '-', turn) AS turn_id, max(coalesce(text, '')) AS text "
+           "FROM conversations GROUP BY 1",
+    **vectors("cv", "cv0", "turn_id", "text"),
+    "cbs": "SELECT d.doc_id, c.turn_id, " + rnd("SUM(d.v * c.v)", 4) + " AS score "
+           "FROM dv d JOIN cv c ON d.i = c.i GROUP BY 1, 2",
 }
 
 

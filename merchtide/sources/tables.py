@@ -19,7 +19,6 @@ from merchtide.sources import storage
 
 FORMAT = "parquet"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-MAX_LISTED_PARTITIONS = 2000
 
 
 def versions(spark: SparkSession, path: str) -> list[str]:
@@ -150,19 +149,11 @@ def _upsert_partitions(source: DataFrame, path: str, keys: list[str], by: list[s
 def _within(target: DataFrame, touched: DataFrame, by: list[str]) -> DataFrame:
     """Target rows of the touched partitions.
 
-    Up to a fixed number of partitions the values become a plain filter that
-    prunes folders; beyond it a semi join does the same.
+    The filter reads the partition columns only, so it prunes folders when the query runs.
+    Its list holds a value per touched partition, as the scan's own list of folders does.
     """
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS or len(by) > 1:
-        renamed = touched.toDF(*[f"_t_{c}" for c in by])
-        same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in by]
-        return target.join(renamed, same, "left_semi")
-    values = [row[0] for row in listed]
-    hit = F.col(by[0]).isin([v for v in values if v is not None])
-    if None in values:
-        hit = hit | F.col(by[0]).isNull()
-    return target.filter(hit)
+    wanted = touched.agg(F.collect_list(F.struct(*by))).scalar()
+    return target.filter(F.array_contains(wanted, F.struct(*by)))
 
 
 def _drop_emptied(touched: DataFrame, merged: DataFrame, path: str, by: list[str]) -> None:

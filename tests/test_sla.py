@@ -67,18 +67,31 @@ def test_unknown_batch_gets_the_whole_default(spark, registry, no_events):
         (30.0, 40.0, 45.0, 95.0, 0)}
 
 
-def test_delay_lookup_and_join_agree(spark):
+def test_observed_history_goes_before_assumed_and_default(spark, registry, no_events):
+    own = spark.createDataFrame(
+        [("STOCK_MOVEMENT", 1, 1.0, 2.0, 3.0, 50.0, 7)],
+        sla.duration_history(no_events, registry).schema)
+    named = {k: v for k, v in model.ASSUMED_HISTORY.items() if k}
+    inputs = sla.batch_inputs(registry, clock())
+    rows = {r.batch_id: r for r in sla.with_history(inputs, own, named).collect()}
+    assert len(rows) == inputs.count()
+    for name, row in rows.items():
+        rules = [v for k, v in named.items() if k in name]
+        record = rules[0] if rules else model.UNKNOWN_HISTORY
+        expected = (3.0, 7) if name == "STOCK_MOVEMENT" else (record.p95, record.misses)
+        assert (row.p95_duration_min, row.historical_sla_miss_count_30d) == expected
+
+
+def test_delay_of_processes(spark):
     health = spark.createDataFrame(
-        [("a", "HEALTHY", 1.5, "ra", "ma"), ("b", "DEGRADED", 8.25, "rb", "mb")], sla.HEALTH_DDL)
+        [("a", "HEALTHY", 1.5, "ra", "ma"), ("b", "DEGRADED", 8.25, "rb", "mb"),
+         ("b", "LATE", 2.0, "rc", "mc")], sla.HEALTH_DDL)
     inputs = spark.createDataFrame(
         [("B1", ["b", "a", "zz"]), ("B2", ["a"]), ("B3", [])], "batch_id string, processes array<string>")
-    results = []
-    for pack_rows in (100, 1):
-        rows = sla.with_process_delay(inputs, health, pack_rows).collect()
-        results.append({
-            r.batch_id: (r.resource_delay_min, [tuple(d) for d in r.degraded_processes])
-            for r in rows})
-    assert results[0] == results[1] == {
+    rows = sla.with_process_delay(inputs, health).collect()
+    assert {
+        r.batch_id: (r.resource_delay_min, [tuple(d) for d in r.degraded_processes]) for r in rows
+    } == {
         "B1": (9.75, [("b", "DEGRADED", 8.25, "rb", "mb"), ("zz", "UNKNOWN", 0.0, None, None)]),
         "B2": (1.5, []), "B3": (0.0, []),
     }

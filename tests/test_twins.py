@@ -16,7 +16,7 @@ src01_csv_scan src03_append_new_column src08_json_metadata src10_upsert_snapshot
 src16_partitioned_layout prj01_normalize_names prj02_cast_to_schema prj04_latest_snapshot
 prj07_decision_ladder prj11_channel_shift prj17_top_by_rank ded01_newest_per_key
 ded02_first_occurrences jn01_kpi_stock_left jn02_marketing_stock_left jn05_upsert_rows
-jn07_batch_process_health jn09_document_matches jn10_keyword_join agg03_ratio_of_sums
+jn07_batch_process_health jn09_document_matches jn09_conversation_matches jn10_keyword_join agg03_ratio_of_sums
 agg07_demand_vs_stock agg09_orders_summary agg10_category_summary agg13_percentiles
 agg14_duration_history agg15_slot_sums agg16_duplicate_keys win01_rank_per_hour
 win03_ledger_floor win03_ledger_available win05_channel_share srt01_latest_kpi

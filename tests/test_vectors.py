@@ -6,8 +6,7 @@ import math
 from pyspark.sql import functions as F
 
 from merchtide.functions import text as tx
-from merchtide.functions.numeric import rounded
-from merchtide.operators.vectors import vectorize, with_matches, with_nearest
+from merchtide.operators.vectors import vectorize, with_nearest
 from merchtide.plans import sla
 
 
@@ -45,31 +44,31 @@ def nearest_by_loop(events, kb, top):
     return out
 
 
-def test_nearest_packed_and_blocked_agree(spark, data):
+def test_nearest_does_not_depend_on_blocks(spark, data):
     docs = vectorize(data.raw("documents"), "doc_id", "text")
     items = vectorize(data.raw("benchmark"), "item_id", "text")
     # Two copies of an item tie everywhere.
     items = items.unionByName(items.filter("item_id < 3").withColumn("item_id", F.col("item_id") + 900))
     expected = nearest_by_loop(
         [tuple(r) for r in docs.collect()], [tuple(r) for r in items.collect()], 3)
-    for pack_rows in (2048, 7):
+    for block_bytes in (1 << 20, 1 << 11):
         found = with_nearest(
-            docs, "doc_id", "vector", items, "item_id", "vector", top=3, pack_rows=pack_rows)
+            docs, "doc_id", "vector", items, "item_id", "vector", top=3, block_bytes=block_bytes)
         got = {
             r.doc_id: [(m.entry.item_id, m.score) for m in r.matches] for r in found.collect()
         }
         assert got == expected
 
 
-def test_match_bonus_and_both_paths(spark):
+def test_match_bonus(spark):
     kb = sla.vectorized_knowledge(sla.starter_knowledge(spark))
     found = spark.createDataFrame(
         [("B1", "HIGH", ["stock_reconciliation"], [("stock_reconciliation", "LATE", 5.0, "feed", "late")]),
          ("B2", "LOW", [], [])],
         f"batch_id string, risk_level string, processes array<string>, degraded_processes {sla.DEGRADED_TYPE}")
     results = []
-    for pack_rows in (2048, 2):
-        rows = sla.with_knowledge(found, kb, pack_rows=pack_rows).collect()
+    for block_bytes in (1 << 20, 1 << 9):
+        rows = sla.with_knowledge(found, kb, block_bytes=block_bytes).collect()
         results.append({r.batch_id: [(m.entry.kb_id, m.score) for m in r.matches] for r in rows})
     assert results[0] == results[1]
     text = "B1 HIGH stock_reconciliation stock_reconciliation feed late"
@@ -84,16 +83,29 @@ def test_keyword_context_keeps_every_match(spark):
         "pos int, name string, fix string")
     events = spark.createDataFrame(
         [("a", "A SLOW day, file missing"), ("b", "all fine"), ("c", None)], "id string, t string")
-    for pack_rows in (2048, 1):
-        rows = sla.with_context(events, "id", "t", kb, "name", "fix", "pos", pack_rows).collect()
+    for block_bytes in (1 << 20, 1):
+        rows = sla.with_context(events, "id", "t", kb, "name", "fix", "pos", block_bytes=block_bytes).collect()
         got = {r.id: r.context for r in rows}
         assert got["a"] == "[slow_cluster]: scale up\n[late_file]: ask upstream\n[slow_join]: split"
         assert got["b"] == got["c"] == sla.model.NO_CONTEXT
 
 
-def test_null_scores_leave_rows_out(spark):
-    kb = spark.createDataFrame([(1, 2.0), (2, None)], "pos int, v double")
-    events = spark.createDataFrame([("a", 3.0)], "id string, x double")
-    found = with_matches(
-        events, "id", kb, "pos", lambda e, k: rounded(e["x"] * k["v"], 2), ["x"], ["v"])
-    assert [(m.score, m.entry.pos) for m in found.first().matches] == [(6.0, 1)]
+def test_nothing_to_match_is_an_empty_list(spark):
+    schema = "id string, v array<double>"
+    events = spark.createDataFrame([("a", [3.0, 0.0]), ("b", None)], schema)
+    kb = spark.createDataFrame([("x", [2.0, 1.0]), ("y", None)], schema)
+    for some, expected in ((kb, {"a": [(6.0, "x")], "b": []}), (kb.limit(0), {"a": [], "b": []})):
+        rows = with_nearest(events, "id", "v", some, "id", "v").collect()
+        assert {r.id: [(m.score, m.entry.id) for m in r.matches] for r in rows} == expected
+    assert with_nearest(events.limit(0), "id", "v", kb, "id", "v").collect() == []
+
+
+def test_mentions_of_odd_keys(spark):
+    kb = spark.createDataFrame([(1, "a__b", "x"), (2, None, "y"), (3, "É_z", "z")], "pos int, name string, fix string")
+    events = spark.createDataFrame([("e1", "nothing"), ("e2", None), ("e3", "ÉZ")], "id string, t string")
+    rows = sla.with_context(events, "id", "t", kb, "name", "fix", "pos").collect()
+    none = sla.model.NO_CONTEXT
+    assert {r.id: r.context for r in rows} == {
+        "e1": "[a__b]: x", "e2": none, "e3": "[a__b]: x\n[É_z]: z"}
+    empty = sla.with_context(events, "id", "t", kb.limit(0), "name", "fix", "pos").collect()
+    assert [r.context for r in empty] == [none] * 3
