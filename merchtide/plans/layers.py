@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchtide.model import QUALITY_DDL, REGISTRY, TableSpec
-from merchtide.operators.columns import cast_to_schema
-from merchtide.operators.dedupe import keep_newest
-from merchtide.operators.quality import check_table
-from merchtide.sources import storage, tables
+from merchtide.model import REGISTRY, TableSpec
+from merchtide.plans.silver import load_silver
+from merchtide.sources import tables
 from merchtide.sources.audit import audited
 from merchtide.sources.files import read_source, with_lineage
 from merchtide.streaming.ingest import ingest_new_files
@@ -35,7 +32,7 @@ class Lake:
 
 def ingest_batch(
     spark: SparkSession, lake: Lake, specs: Sequence[TableSpec] = REGISTRY,
-    run_id: str | None = None, multi_line: bool = True,
+    run_id: str | None = None, multi_line: bool = False,
 ) -> dict[str, int]:
     """Append every source's files to its bronze table; stop at the first failure."""
     run_id = run_id or str(uuid4())
@@ -44,7 +41,7 @@ def ingest_batch(
         target = lake.table("bronze", f"raw_{spec.source}")
         log = lake.table("ops", "etl_audit_log")
         with audited(spark, log, run_id, "ingest_bronze_batch", target) as outcome:
-            rows = read_source(spark, lake.layer("raw"), spec, multi_line=multi_line)
+            rows = read_source(spark, lake.layer("raw"), spec, multi_line=multi_line, misfits=True)
             outcome["row_count"] = tables.append_rows(with_lineage(rows, spec.source), target)
         counts[spec.source] = outcome["row_count"]
     return counts
@@ -52,7 +49,7 @@ def ingest_batch(
 
 def ingest_incremental(
     spark: SparkSession, lake: Lake, specs: Sequence[TableSpec] = REGISTRY,
-    run_id: str | None = None, multi_line: bool = True,
+    run_id: str | None = None, multi_line: bool = False,
 ) -> None:
     run_id = run_id or str(uuid4())
     for spec in specs:
@@ -66,49 +63,21 @@ def ingest_incremental(
             outcome["message"] = "all available files taken"
 
 
-def silver_rows(typed: DataFrame, spec: TableSpec, processed_at: datetime | None = None):
-    """One row per key, the newest ingest first, stamped."""
-    stamp = F.lit(processed_at) if processed_at else F.current_timestamp()
-    return keep_newest(typed, spec.keys, ["_ingested_at"]).withColumn(
-        "_silver_processed_at", stamp
-    )
-
-
-def silver_checks(typed: DataFrame, spec: TableSpec, run_id: str = "") -> DataFrame:
-    """The table's quality rules, on the rows before duplicates are removed."""
-    return check_table(
-        typed, spec.target, spec.required, spec.keys, spec.non_negative, run_id, "silver"
-    )
-
-
 def build_silver(
     spark: SparkSession, lake: Lake, specs: Sequence[TableSpec] = REGISTRY,
     run_id: str | None = None,
 ) -> dict[str, int]:
     """Type, check, deduplicate and upsert every bronze table.
 
-    Failed checks are recorded and do not stop the load.
+    Failed checks are recorded and do not stop the load; rows that do not fit go to
+    quarantine.
     """
     run_id = run_id or str(uuid4())
     counts = {}
     for spec in specs:
-        target = lake.table("silver", spec.target)
-        log = lake.table("ops", "etl_audit_log")
-        with audited(spark, log, run_id, "build_silver", target) as outcome, storage.staging(spark):
-            bronze = tables.read_table(
-                spark, lake.table("bronze", f"raw_{spec.source}"), merge=True
-            )
-            # Read twice, by the checks and by the load: a copy would cost more than a scan.
-            typed = cast_to_schema(bronze, spec)
-            tables.append_typed(
-                silver_checks(typed, spec, run_id).coalesce(1),
-                lake.table("ops", "data_quality_results"),
-                QUALITY_DDL,
-            )
-            outcome["row_count"] = tables.upsert_table(
-                silver_rows(typed, spec), target, spec.keys, spec.partition_by
-            )
-        counts[spec.target] = outcome["row_count"]
+        bronze = tables.read_table(spark, lake.table("bronze", f"raw_{spec.source}"), merge=True)
+        counts[spec.target] = load_silver(
+            bronze, spec, lake.layer("silver"), lake.layer("ops"), run_id)
     return counts
 
 

@@ -19,7 +19,7 @@ from merchtide.operators.quality import check_table, duplicate_groups, split_inv
 from merchtide.operators.snapshot import at_latest
 from merchtide.operators.upsert import upsert
 from merchtide.plans import dashboard as db
-from merchtide.plans import gold, layers
+from merchtide.plans import gold, layers, silver
 from merchtide.plans.layers import Lake
 from merchtide.queries import query
 from merchtide.queries.twin import sql
@@ -379,7 +379,7 @@ def _(d):
     ("not_null:order_id", "SELECT 0"), ("not_null:order_timestamp", "SELECT 0"),
     ("not_null:sku", "SELECT 0"), ("unique_key:order_id", DUPLICATES)], "tx")))
 def _(d):
-    found = layers.silver_checks(typed_transactions(d), model.TRANSACTIONS)
+    found = silver.silver_checks(typed_transactions(d), model.TRANSACTIONS)
     return db.quality_board(found).select(*RESULT)
 
 
@@ -439,12 +439,36 @@ def _(d):
         drop_csv(lot, f"{lake.layer('raw')}/{spec.source}")
         layers.ingest_incremental(d.spark, lake, [spec], run_id=status)
         ingest.upsert_new_rows(
-            d.spark, lake.layer("bronze"), lake.layer("silver"), lake.layer("checkpoints"), spec)
+            d.spark, lake.layer("bronze"), lake.layer("silver"), lake.layer("ops"),
+            lake.layer("checkpoints"), spec)
     rows = harmonize_numbers(layers.read_silver(d.spark, lake, spec))
     return rows.select(*spec.columns).withColumn(
         "scheduled_restock_timestamp", F.col("scheduled_restock_timestamp").cast("timestamp_ntz"))
 
 
+@query("str02_stream_quarantine", sql(
+    "SELECT product_name, CASE CAST(substr(sku, 2) AS BIGINT) % 8 WHEN 0 THEN 'columns' WHEN 1 THEN 'key' "
+    "ELSE 'silver' END AS place FROM product"))
+def _(d):
+    lake = new_lake(d)
+    spec = model.RESTOCK
+    # Some rows have a field more than the header, some have no key.
+    rest = F.substring("sku", 2, 20).cast("long") % 8
+    line = F.concat_ws(
+        ",", F.when(rest == 1, "").otherwise(F.col("sku")), "product_name",
+        F.lit("2024-02-01 00:00:00"), F.lit("10"), F.lit("Planned"), F.when(rest == 0, F.lit("surplus")))
+    d.product.select(line.alias(",".join(spec.columns))).write.option("header", True).option(
+        "quote", "").option("sep", "\x01").csv(f"{lake.layer('raw')}/{spec.source}")
+    layers.ingest_incremental(d.spark, lake, [spec], run_id="run-1")
+    ingest.upsert_new_rows(
+        d.spark, lake.layer("bronze"), lake.layer("silver"), lake.layer("ops"),
+        lake.layer("checkpoints"), spec)
+    loaded = layers.read_silver(d.spark, lake, spec)
+    rejected = tables.read_table(d.spark, lake.table("ops", silver.QUARANTINE))
+    return loaded.select("product_name", F.lit("silver").alias("place")).union(
+        rejected.select(F.get_json_object("row", "$.product_name"), "reason"))
+
+
 # --- whole builds ---------------------------------------------------------
 
 SOURCE_COUNTS = " UNION ALL ".join(

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from merchtide.model import TableSpec
 from merchtide.sources.storage import exists
 
+CORRUPT = "_corrupt_record"
 CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
@@ -16,16 +17,18 @@ def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     infer: bool = False,
+    misfits: bool = False,
 ) -> DataFrame:
-    """CSV with a header, quotes doubled inside quotes, line breaks inside quotes.
+    """CSV with a header and quotes doubled inside quotes.
 
     Columns arrive as text unless ``infer``, which costs one more pass over the
     data; silver casts them. The header of every file is compared with the first
-    one, so a file with other columns fails instead of shifting values. A file
-    with line breaks inside values cannot be split: drops should be many files,
-    or ``multi_line=False`` where values hold none.
+    one, so a file with other columns fails instead of shifting values. Values with
+    line breaks need ``multi_line``; such a file cannot be split, so drops should then
+    be many files. ``misfits`` keeps a row that does not fit the columns whole in
+    ``_corrupt_record``.
     """
     options = {**CSV_OPTIONS, "multiLine": multi_line}
     reader = spark.read.options(**options)
@@ -33,6 +36,9 @@ def read_csv(
         return reader.option("inferSchema", True).csv(path)
     if schema is None:
         schema = reader.csv(path).schema
+    if misfits:
+        schema = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 

@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_staged: list[str] = []
+# What each thread has staged, so that builds side by side remove only their own.
+_own = threading.local()
+
+
+def _staged() -> list[str]:
+    if not hasattr(_own, "paths"):
+        _own.paths = []
+    return _own.paths
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -30,7 +38,7 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{scratch_root(spark)}/merchtide/{label}-{uuid4().hex}"
-    _staged.append(path)
+    _staged().append(path)
     return path
 
 
@@ -46,18 +54,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def drop_staged(spark: SparkSession, keep: int = 0) -> None:
-    """Delete what this session has staged, but for the first ``keep`` tables.
+    """Delete what this thread has staged, but for the first ``keep`` tables.
 
     Call it when the results are written.
     """
-    while len(_staged) > keep:
-        remove(spark, _staged.pop())
+    while len(_staged()) > keep:
+        remove(spark, _staged().pop())
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Delete at the end what was staged inside; the results must be written by then."""
-    before = len(_staged)
+    before = len(_staged())
     try:
         yield
     finally:

@@ -1,5 +1,8 @@
 """CSV drops into bronze and silver, in batches and as a stream."""
 
+import time
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +11,7 @@ from merchtide.operators.columns import cast_to_schema
 from merchtide.plans import gold, layers
 from merchtide.plans.layers import Lake
 from merchtide.queries.layers import RUN_AT, SILVER_SPECS, drop_csv, source_rows
-from merchtide.sources import files, tables
+from merchtide.sources import files, storage, tables
 from merchtide.streaming import ingest
 
 HEADER = "SKU,Product_Name,Scheduled_Restock_Timestamp,Restock_Units,Status\n"
@@ -29,7 +32,7 @@ SECOND = "P1,Ring,2024-02-01 00:00:00,12.0,Done\nP3,Rod,2024-02-02 00:00:00,5,Pl
 
 def test_awkward_csv_values(spark, tmp_path):
     drop(tmp_path, "a.csv", FIRST)
-    rows = files.read_source(spark, str(tmp_path / "raw"), model.RESTOCK)
+    rows = files.read_source(spark, str(tmp_path / "raw"), model.RESTOCK, multi_line=True)
     typed = cast_to_schema(files.with_lineage(rows, "restock_schedule"), model.RESTOCK)
     got = {r.sku: r for r in typed.collect()}
     assert got["P1"].product_name == "Ring, small"
@@ -58,9 +61,10 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     spec = model.RESTOCK
 
     def run():
-        layers.ingest_incremental(spark, lake, [spec])
+        layers.ingest_incremental(spark, lake, [spec], multi_line=True)
         ingest.upsert_new_rows(
-            spark, lake.layer("bronze"), lake.layer("silver"), lake.layer("checkpoints"), spec)
+            spark, lake.layer("bronze"), lake.layer("silver"), lake.layer("ops"),
+            lake.layer("checkpoints"), spec)
         bronze = tables.read_table(spark, lake.table("bronze", f"raw_{spec.source}"))
         silver = layers.read_silver(spark, lake, spec)
         return bronze.count(), {r.sku: (r.status, r.restock_units) for r in silver.collect()}
@@ -84,6 +88,45 @@ def test_stream_keeps_rows_that_do_not_fit(spark, tmp_path):
     assert [r[ingest.CORRUPT] for r in bad] == ["P9,Rod,2024-02-02 00:00:00,5,Planned,extra"]
 
 
+def test_misfits_stay_out_of_silver(spark, tmp_path):
+    spec = model.RESTOCK
+    body = SECOND + "P9,Rod\n" + ",Rod,2024-02-02 00:00:00,5,Planned\n"
+    seen = []
+    for kind in ("batch", "stream"):
+        lake = Lake(str(tmp_path / kind))
+        drop(tmp_path / kind, "a.csv", body)
+        staged = len(storage._staged())
+        if kind == "batch":
+            layers.ingest_batch(spark, lake, [spec])
+            for _ in range(2):
+                layers.build_silver(spark, lake, [spec], "run")
+        else:
+            layers.ingest_incremental(spark, lake, [spec])
+            ingest.upsert_new_rows(
+                spark, lake.layer("bronze"), lake.layer("silver"), lake.layer("ops"),
+                lake.layer("checkpoints"), spec)
+        assert len(storage._staged()) == staged
+        silver = layers.read_silver(spark, lake, spec)
+        assert {r.sku for r in silver.collect()} == {"P1", "P3"}
+        bad = tables.read_table(spark, lake.table("ops", "quarantine"))
+        assert sorted(r.reason for r in bad.collect()) == ["columns", "key"]
+        log = tables.read_table(spark, lake.table("ops", "etl_audit_log"))
+        assert log.filter("message = '2 rows in quarantine'").count() > 0
+        seen.append(sorted(silver.columns))
+    assert seen[0] == seen[1]
+
+
+def test_builds_at_once_keep_their_staged_tables(spark):
+    def build(n):
+        with storage.staging(spark):
+            rows = storage.stage(spark.range(n), "side")
+            time.sleep(1)
+            return rows.count()
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(build, (3, 5))) == [3, 5]
+
+
 def test_failed_source_is_audited(spark, tmp_path):
     lake = Lake(str(tmp_path))
     with pytest.raises(Exception, match="(?i)path"):
