@@ -116,3 +116,16 @@ def test_warc_links_records(spark):
     assert len(records) == 4 and {r.refers_to for r in records} == ids
     assert [r.block for r in records if r.page_id == 1 and r.warc_type == "conversion"] == ["a & b"]
     assert all(re.fullmatch(r"sha256:[0-9a-f]{64}", r.block_digest) for r in records)
+
+
+def test_other_columns_may_have_any_name(spark):
+    names = ["row", "id", "print", "number", "hash", "key", "spans", "text_key", "rejected"]
+    rows = [(1, "mail a@b.com now", *names), (2, "mail a@b.com now", *names), (3, None, *names), (4, "", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    items = spark.createDataFrame([], "item_id long, text string")
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == [1, 3]
+    clean = decontaminate.clean(docs, items)
+    assert clean.columns == docs.columns and clean.count() == 4
+    safe = sanitise.sanitise(docs).orderBy("doc_id").collect()
+    assert [r.text for r in safe] == ["mail [EMAIL] now"] * 2 + [None, ""]
+    assert all(tuple(r)[2:] == tuple(names) for r in safe)
