@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchtide.llm.common import prepared
@@ -23,6 +23,8 @@ PROBES = 4
 SEED = 7
 # Vectors of a bucket that meet in one group; larger buckets are dealt to lots of about this size.
 LOT_ROWS = 1 << 14
+# Queries that a group holds in memory at most, about; more are dealt to lots of their own.
+QUERY_ROWS = 1 << 12
 SLACK = 1e-9
 
 
@@ -94,41 +96,56 @@ def _nearest(ids: np.ndarray, queries: np.ndarray, other_ids: np.ndarray, others
     return found
 
 
-def _searched(queries: DataFrame, others: DataFrame, lots: int, k: int) -> DataFrame:
-    """The nearest of each query per bucket and lot.
+def _searched(queries: DataFrame, others: DataFrame, lots: int, query_lots: int, k: int) -> DataFrame:
+    """The nearest of each query per bucket, lot of others and lot of queries.
 
-    The rows of a bucket come sorted, queries first; the others stream by in batches and only
-    the best of each query leave.
+    The rows of a group come sorted, queries first; the others stream by in batches and only
+    the best of each query leave. What a task holds is one lot of queries, however many of them
+    a bucket draws.
     """
-    bucket = ["width", "slot", "code", "lot"]
-    asked = queries.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1)))).withColumn("other", F.lit(False))
-    met = others.withColumn("lot", F.pmod(F.xxhash64("vec_id"), F.lit(lots)).cast("int")).withColumn("other", F.lit(True))
+    bucket = ["width", "slot", "code", "lot", "query_lot"]
+
+    def dealt(count: int) -> Column:
+        return F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
+
+    def every(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    asked = queries.select("*", every(lots).alias("lot"), dealt(query_lots).alias("query_lot"), F.lit(False).alias("other"))
+    met = others.select("*", dealt(lots).alias("lot"), every(query_lots).alias("query_lot"), F.lit(True).alias("other"))
     rows = asked.unionByName(met).repartition(*bucket).sortWithinPartitions(*bucket, "other", "vec_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, ids, vectors = None, [], []
+        now, ids, vectors, matrix = None, [], [], None
         for rows in batches:
             found = []
             keys = rows[bucket].to_numpy()
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(rows)]
             for start, end in zip(cuts[:-1], cuts[1:]):
                 if now != tuple(keys[start]):
-                    now, ids, vectors = tuple(keys[start]), [], []
+                    now, ids, vectors, matrix = tuple(keys[start]), [], [], None
                 part = rows[start:end]
                 own = ~part["other"].to_numpy()
                 ids += part["vec_id"][own].tolist()
                 vectors += part["vector"][own].tolist()
                 rest = part[~own]
-                if len(ids) and len(rest):
-                    found += _nearest(np.array(ids), np.array(vectors), rest["vec_id"].to_numpy(),
+                if ids and len(rest):
+                    if matrix is None:  # all queries of the group came before the first other
+                        matrix = np.stack(vectors)
+                    found += _nearest(np.array(ids), matrix, rest["vec_id"].to_numpy(),
                                       np.stack(rest["vector"].to_numpy()), k)
             yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     return rows.mapInPandas(run, "query_id long, vec_id long, score double")
 
 
+def _lots(rows: int, size: int) -> int:
+    return max(1, -(-rows // size))
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id",
-            embedding: str = "embedding", tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+            embedding: str = "embedding", tables: int = TABLES, probes: int = PROBES,
+            query_rows: int = QUERY_ROWS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each query, itself left out.
 
     The score is the cosine in double precision, ties go to the smaller id. Of equal vectors
@@ -143,8 +160,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
         F.col("place") <= k + 1).drop("place")
     others = stage(others, "vectors")
     asked = stage(usable(queries, vec_id, embedding).distinct(), "queries")
-    lots = max(1, -(-others.count() // (LOT_ROWS * 16)))
-    found = stage(_searched(_placed(asked, tables, probes), _placed(others, tables, 1), lots, k), "found")
+    n_others = others.count()
+    lots, query_lots = _lots(n_others, LOT_ROWS * 16), _lots(asked.count(), query_rows)
+    found = stage(_searched(_placed(asked, tables, probes), _placed(others, tables, 1), lots, query_lots, k), "found")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     few = asked.join(best.groupBy("query_id").count().where(F.col("count") >= k),
                      F.col("vec_id") == F.col("query_id"), "left_anti")
@@ -154,8 +172,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
             return rows.select(F.size("vector").alias("width"), F.lit(-1).alias("slot"), F.lit(0).alias("code"),
                                "vec_id", "vector")
 
-        all_lots = max(1, -(-others.count() // LOT_ROWS))
-        rest = stage(_searched(one_bucket(few), one_bucket(others), all_lots, k), "scanned")
+        lots, query_lots = _lots(n_others, LOT_ROWS), _lots(few.count(), query_rows)
+        rest = stage(_searched(one_bucket(few), one_bucket(others), lots, query_lots, k), "scanned")
         best = found.union(rest).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
