@@ -130,11 +130,12 @@ def scan(text: str | None, index: Index, phrases: dict[str, str]) -> dict:
     joined = f" {' '.join(words)} "
     places, labels = [], set()
     for phrase, label in phrases.items():
-        at = joined.find(f" {phrase} ")
+        at, before, place = joined.find(f" {phrase} "), 0, 0
         while at >= 0:
-            places.append(joined.count(" ", 0, at))
+            place += joined.count(" ", before, at)
+            places.append(place)
             labels.add(label)
-            at = joined.find(f" {phrase} ", at + 1)
+            at, before = joined.find(f" {phrase} ", at + 1), at
     score = 1.0 if labels else max((b["containment"] for b in blocks), default=0.0)
     return {
         "n_words": len(words), "n_base": len(places),
