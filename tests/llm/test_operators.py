@@ -129,3 +129,63 @@ def test_other_columns_may_have_any_name(spark):
     safe = sanitise.sanitise(docs).orderBy("doc_id").collect()
     assert [r.text for r in safe] == ["mail [EMAIL] now"] * 2 + [None, ""]
     assert all(tuple(r)[2:] == tuple(names) for r in safe)
+
+
+def test_neighbours_in_lots_of_queries_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=(120, 8))
+    table[40:60] = table[0]  # one hot vector
+    rows = [(i, v.tolist()) for i, v in enumerate(table)]
+    vectors = spark.createDataFrame([*rows, rows[7]], "vec_id long, embedding array<double>")
+    unit = table / np.linalg.norm(table, axis=1, keepdims=True)
+    for query_rows in (7, 1000):
+        found = neighbours.nearest(vectors, vectors.where("vec_id % 2 = 0"), tables=30, probes=8, query_rows=query_rows)
+        got = {}
+        for r in sorted(found.collect(), key=lambda r: (r.query_id, r.rank)):
+            got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 9)))
+        assert sorted(got) == list(range(0, 120, 2))
+        for q, near in got.items():
+            score = np.round(unit @ unit[q], 9)
+            order = [i for i in np.lexsort((np.arange(120), -score)) if i != q][:5]
+            assert near == [(i, score[i]) for i in order]
+
+
+def test_license_places_are_all_counted():
+    index = licenses.build_index({}, licenses.TEMPLATES, licenses.THRESHOLD)
+    text = "CC BY by cc by\ncc-by all rights reserved cc cc by " * 50
+    words = licenses.words_of(text)
+    places = sorted(
+        i for p in licenses.PHRASES for i in range(len(words)) if words[i:i + len(p.split())] == p.split())
+    found = licenses.scan(text, index, licenses.PHRASES)
+    assert (found["n_base"], found["first_word"], found["last_word"]) == (len(places), places[0], places[-1])
+    empty = licenses.scan(None, index, licenses.PHRASES)
+    assert (empty["n_words"], empty["n_base"], empty["first_word"], empty["labels"]) == (0, 0, None, "")
+
+
+def test_loss_mask_covers_the_learned_texts(spark):
+    rows = spark.createDataFrame(
+        [(1, 0, "user", "a < b"), (1, 1, "assistant", "é\U0001F600 & <c>"), (1, 2, "user", ""), (1, 3, "assistant", None)],
+        "conv_id long, turn long, role string, text string")
+    out = chat.format_conversations(rows.withColumn("parts", chat.text_part(F.col("text")))).first()
+    under = [out.formatted[s.start:s.end] for s in out.spans if s.loss]
+    assert under == ["é\U0001F600 &amp; &lt;c&gt;", ""]
+    assert [out.formatted[s.start:s.end] for s in out.spans if not s.loss] == ["a &lt; b", ""]
+
+
+def test_texts_without_letters_have_no_language(spark, docs):
+    model = language.fit(docs)
+    rows = spark.createDataFrame([(None,), ("",), ("12 !?",), ("alpha beta gamma",)], "text string")
+    found = [r.p for r in rows.select(language.predicted(F.col("text"), model).alias("p")).collect()]
+    assert [(p.lang_pred, p.score, p.rejected) for p in found[:3]] == [(language.UNKNOWN, 0.0, True)] * 3
+    assert found[3].lang_pred in {"en", "de"} and 0 < found[3].score <= 1
+
+
+def test_toxic_sentence_is_found(spark):
+    bad = [(i, f"Nice day number{i}. You vile{i % 3} scoundrel. Bye now.", 1) for i in range(60)]
+    good = [(100 + i, f"Nice day number{i}. You kind{i % 3} person. Bye now.", 0) for i in range(60)]
+    rows = spark.createDataFrame([*bad, *good, (300, None, 0), (None, "x", 1)], "doc_id long, text string, toxic int")
+    model = toxicity.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    score, found = model.score("Nice day. You vile scoundrel. Bye now.")
+    worst = max(found, key=lambda f: f[2])
+    assert score > 0.5 and "scoundrel" in "Nice day. You vile scoundrel. Bye now."[worst[0]:worst[1]]
+    assert model.score("Nice day. You kind person.")[0] < 0.3 and model.score("") == (0.0, [])
