@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 LINEAGE_COLUMNS = ("_source_name", "_ingested_at", "_input_file_name")
+STAMP_COLUMN = "_silver_processed_at"
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,13 @@ class TableSpec:
         """Every column as text, the way files arrive."""
         return T.StructType([T.StructField(f.name, T.StringType()) for f in self.schema])
 
+    @property
+    def silver_schema(self) -> T.StructType:
+        """The columns of the silver table: declared ones, lineage and the stamp."""
+        source, at, file = LINEAGE_COLUMNS
+        return T.StructType([*self.schema, *T.StructType.fromDDL(
+            f"{source} string, {at} timestamp, {file} string, {STAMP_COLUMN} timestamp")])
+
     @property
     def required(self) -> tuple[str, ...]:
         """Columns checked for NULL; the key where no list is declared."""
@@ -103,6 +111,8 @@ TRANSACTIONS = TableSpec(
     not_null=("order_id", "order_timestamp", "sku"),
 )
 
+# The three summaries have a row, or one per category or channel, an hour: ten years are a
+# few hundred thousand rows, too few for folders of their own.
 ORDERS_HOURLY = TableSpec(
     source="orders_hourly_summary",
     target="fact_orders_hourly_summary",
@@ -111,7 +121,6 @@ ORDERS_HOURLY = TableSpec(
         "total_sessions int, revenue decimal(14,2), ad_spend decimal(14,2), "
         "conversion_rate_pct decimal(8,2), aov decimal(12,2)",
     cluster_by=("timestamp",),
-    partition_by=("hour_key",),
 )
 
 CATEGORY_HOURLY = TableSpec(
@@ -122,7 +131,6 @@ CATEGORY_HOURLY = TableSpec(
         "revenue decimal(14,2), ad_spend decimal(14,2), avg_demand_spike_pct decimal(8,2), "
         "avg_push_score decimal(8,2), cvr_pct decimal(8,2), roas decimal(8,2)",
     cluster_by=("category",),
-    partition_by=("hour_key",),
 )
 
 CHANNEL_HOURLY = TableSpec(
@@ -132,7 +140,6 @@ CHANNEL_HOURLY = TableSpec(
     ddl="timestamp timestamp, hour_key string, channel string, sessions int, orders int, "
         "revenue decimal(14,2), ad_spend decimal(14,2), cvr_pct decimal(8,2), roas decimal(8,2)",
     cluster_by=("channel",),
-    partition_by=("hour_key",),
 )
 
 RESTOCK = TableSpec(

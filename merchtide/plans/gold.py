@@ -264,9 +264,10 @@ def build_gold(
             model.CHANNEL_HOURLY,
         )
     )
-    # The newest hour by its key, which the facts are partitioned by: the scans
-    # below open one hour's folders and no others.
-    hour = latest_time(marketing, "hour_key")
+    # The newest hour by the folder names: the scans below open one hour's folders and
+    # no others, and none to find the hour.
+    hour = F.lit(tables.newest_partition(
+        spark, lake.table("silver", model.MARKETING.target), "hour_key")).cast("string")
     marketing = marketing.filter(F.col("hour_key") == hour)
     stock = stock.filter(F.col("hour_key") == hour)
     category, channel = (at_latest(df, "hour_key") for df in (category, channel))

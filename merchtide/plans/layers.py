@@ -82,17 +82,9 @@ def build_silver(
 
 
 def read_silver(spark: SparkSession, lake: Lake, spec: TableSpec) -> DataFrame:
-    """A silver table with its declared types; partition values included."""
-    path = lake.table("silver", spec.target)
-    rows = tables.read_table(spark, path, merge=True, partition_by=spec.partition_by)
-    kinds = spec.columns
-    return rows.select(
-        *[
-            F.col(c) if rows.schema[c].dataType == k else F.col(c).cast(k).alias(c)
-            for c, k in kinds.items()
-        ],
-        *[c for c in rows.columns if c not in kinds],
-    )
+    """A silver table by its declared schema, so that no file is opened to learn it."""
+    rows = tables.read_table(spark, lake.table("silver", spec.target), spec.silver_schema)
+    return rows.select(*spec.silver_schema.names)
 
 
 def maintain(

@@ -217,15 +217,16 @@ def _(d):
 
 
 @query("ded02_first_occurrences", sql(
+    "SELECT c.conv_id, c.turn, coalesce(w.words, '') AS words FROM conversations c LEFT JOIN ("
     "SELECT conv_id, turn, string_agg(t, ' ' ORDER BY place) AS words FROM (SELECT conv_id, turn, t, "
     "min(place) AS place FROM (SELECT conv_id, turn, unnest(l) AS t, generate_subscripts(l, 1) AS place "
     f"FROM (SELECT conv_id, turn, {token_list('text')} AS l FROM conversations)) GROUP BY ALL) "
-    "GROUP BY ALL"))
+    "GROUP BY ALL) w ON c.conv_id = w.conv_id AND c.turn = w.turn"))
 def _(d):
     words = tx.first_occurrences(tx.tokens(F.col("text")))
-    kept = d.raw("conversations").select("conv_id", "turn", words.alias("w"))
-    return kept.filter(F.size("w") > 0).select(
-        "conv_id", "turn", F.array_join("w", " ").alias("words"))
+    # A text without a token is kept, with no words.
+    return d.raw("conversations").select(
+        "conv_id", "turn", F.array_join(F.coalesce(words, F.array()), " ").alias("words"))
 
 
 @query("fn01_top_reasons", sql("SELECT sku, reason FROM acts"))

@@ -9,6 +9,8 @@ is one folder that is changed partition by partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import md5
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ from merchtide.sources import storage
 
 FORMAT = "parquet"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# Fixed value: how Spark names the folder of the NULL partition.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def versions(spark: SparkSession, path: str) -> list[str]:
@@ -76,11 +80,20 @@ def replace_table(df: DataFrame, path: str, keep: int = 2, token: str | None = N
     counter = Observation()
     counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
     counted.write.format(FORMAT).mode("overwrite").save(f"{path}/{version}")
+    if spark.catalog.tableExists(rows_view(path)):
+        _point_view(spark, path)
     for old in found[: max(0, len(found) + 1 - keep)]:
         storage.remove(spark, f"{path}/{old}")
     return counter.get["rows"]
 
 
+def newest_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    """The greatest value of the first partition column, by the names of the folders."""
+    names = storage.child_names(spark, path)
+    values = [unquote(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}=")]
+    return max((v for v in values if v != NULL_FOLDER), default=None)
+
+
 def append_rows(df: DataFrame, path: str) -> int:
     """Append to a plain folder, new columns allowed, and return the row count."""
     counter = Observation()
@@ -217,13 +230,27 @@ def compact_table(
     return files
 
 
+def rows_view(path: str) -> str:
+    """Name of the view over the newest version of a table that somebody has published."""
+    return f"rows_{md5(path.encode()).hexdigest()}"
+
+
+def _point_view(spark: SparkSession, path: str) -> None:
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {rows_view(path)} AS "
+        f"SELECT * FROM {FORMAT}.`{current_path(spark, path)}`")
+
+
 def publish_view(
     spark: SparkSession, name: str, path: str, columns: Sequence[str], condition: str
 ) -> str:
-    """A persistent view over the table's current files; publish again after a replace."""
+    """A persistent view over the table that follows its rewrites.
+
+    It selects from a view of all the table's rows, which each later ``replace_table``
+    points to the version it has written, before old versions are removed.
+    """
+    _point_view(spark, path)
     listed = ", ".join(f"`{c}`" for c in columns)
     spark.sql(
-        f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} "
-        f"FROM {FORMAT}.`{current_path(spark, path)}` WHERE {condition}"
-    )
+        f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {rows_view(path)} WHERE {condition}")
     return name

@@ -95,6 +95,26 @@ def test_new_columns_are_appended(spark, tmp_path):
     assert got == [(0, None), (1, None), (2, "new")]
 
 
+def test_view_follows_rewrites(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace_table(spark.range(4), path)
+    tables.publish_view(spark, "followed_view", path, ["id"], "id > 1")
+    for n in (6, 9, 5):
+        tables.replace_table(spark.range(n).withColumn("x", F.lit(n)), path)
+        assert spark.table("followed_view").count() == n - 2
+    tables.compact_table(spark, path)
+    tables.compact_table(spark, path)
+    assert rows_of(spark.table("followed_view")) == [(2,), (3,), (4,)]
+
+
+def test_newest_partition_comes_from_folder_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert tables.newest_partition(spark, path, "k") is None
+    df = spark.createDataFrame([(1, "a:1"), (2, "a:2 x"), (3, None)], "v int, k string")
+    tables.write_partitioned(df, path, ["k"])
+    assert tables.newest_partition(spark, path, "k") == "a:2 x"
+
+
 def test_view_follows_a_new_publish(spark, tmp_path):
     path = str(tmp_path / "t")
     for n in (4, 6):
