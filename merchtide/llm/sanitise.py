@@ -30,8 +30,10 @@ SPAN = "struct<kind:string,start:long,end:long>"
 # Characters on either side of an entity in which its terms are looked for.
 REACH = 80
 TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{2,}(?![\p{L}\p{N}_%+-])(?!\S*@)"
-# A term needs so many distinct texts with the entity before its counts say anything.
-LEAST_TEXTS = 3
+# From so many common texts on the counts stand as they are. With fewer, the mutual information
+# is lowered by what chance explains: a term of n_term among n texts falls into n_both given ones
+# with (n_term / n) ** n_both. In a corpus of any size that is next to nothing for a rare term.
+FIRM_TEXTS = 3
 # Share of the entity's information from which a term is generalised, and removed.
 GENERALISE_AT, REMOVE_AT = 0.8, 0.99
 FILTER_BITS = 1 << 20
@@ -128,7 +130,7 @@ def protected(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text: str = "text",
-                     least_texts: int = LEAST_TEXTS, generalise_at: float = GENERALISE_AT) -> DataFrame:
+                     generalise_at: float = GENERALISE_AT) -> DataFrame:
     """``(key, term, start, end, ratio)``: where in which texts a term gives an entity away.
 
     Counts are of distinct texts over the whole corpus, so copies prove nothing. The number of
@@ -150,7 +152,7 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text: str = "text",
     of_entity = mention.select("kind", "name", "key").distinct().groupBy("kind", "name").agg(F.count("*").alias("n_entity"))
     together = (
         terms.select("kind", "name", "term", "key").distinct()
-        .groupBy("kind", "name", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= least_texts)
+        .groupBy("kind", "name", "term").agg(F.count("*").alias("n_both"))
     )
     together = stage(together, "together")
     wanted = stage(together.select("term").distinct().withColumn("hash", F.xxhash64("term")), "wanted")
@@ -165,8 +167,10 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text: str = "text",
     counted = together.join(of_entity, ["kind", "name"]).join(of_term, "term").withColumn("n", texts)
     most = F.greatest("n_term", "n_both")
     shared = F.log2(F.col("n")) + F.log2("n_both") - F.log2(most) - F.log2("n_entity")
+    chance = F.when(F.col("n_both") < FIRM_TEXTS, F.pow(most / F.col("n"), F.col("n_both"))).otherwise(0.0)
+    shared = shared + F.log2(1 - chance)
     own = F.log2(F.col("n")) - F.log2("n_entity")
-    telling = counted.where(own > 0).withColumn("ratio", F.least(shared / own, F.lit(1.0))).where(
+    telling = counted.where((own > 0) & (chance < 1)).withColumn("ratio", F.least(shared / own, F.lit(1.0))).where(
         F.col("ratio") >= generalise_at).select("kind", "name", "term", "ratio")
     return terms.join(telling, ["kind", "name", "term"]).groupBy("key", "term", "start", "end").agg(
         F.max("ratio").alias("ratio"))

@@ -189,3 +189,13 @@ def test_toxic_sentence_is_found(spark):
     worst = max(found, key=lambda f: f[2])
     assert score > 0.5 and "scoundrel" in "Nice day. You vile scoundrel. Bye now."[worst[0]:worst[1]]
     assert model.score("Nice day. You kind person.")[0] < 0.3 and model.score("") == (0.0, [])
+
+
+def test_terms_of_an_entity_in_one_text_disclose_it(spark):
+    # 64 texts: the surname stands in one of them, the firm in two, the rest in all.
+    texts = [f"please write to us on day {i} about our offer" for i in range(62)]
+    texts += ["please write to Zorbanek about Quillfeather on z@q.com our offer",
+              "please write to Quillfeather about our offer"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(rows).collect()}
+    assert clean[62] == "please write to  about [TERM] on [EMAIL] our offer"
