@@ -1,9 +1,9 @@
 """Personal data and what gives it away, in DataFrame operations only.
 
-Patterns find the protected entities. A term near them discloses an entity when its pointwise
+Patterns find the protected entities. A term of their texts discloses an entity when its pointwise
 mutual information with the entity, counted over the distinct texts of the corpus, reaches a
-share of the entity's own information content. Such terms are generalised, and removed when
-they say as much as the entity itself.
+share of the entity's own information content. Such terms are generalised wherever they stand,
+in all texts, and removed when they say as much as the entity itself.
 """
 
 from __future__ import annotations
@@ -27,9 +27,8 @@ PATTERNS = {
 # A text without the first of these has no match of the kind.
 NEEDS = {"email": "@", "phone": "+", "ip": "."}
 SPAN = "struct<kind:string,start:long,end:long>"
-# Characters on either side of an entity in which its terms are looked for.
-REACH = 80
-TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{2,}(?![\p{L}\p{N}_%+-])(?!\S*@)"
+# Words of letters, but for the part of an address before its at sign (at most 64 characters).
+TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{2,}+(?![\p{N}_%+-])(?!\S{0,64}@)"
 # From so many common texts on the counts stand as they are. With fewer, the mutual information
 # is lowered by what chance explains: a term of n_term among n texts falls into n_both given ones
 # with (n_term / n) ** n_both. In a corpus of any size that is next to nothing for a rare term.
@@ -37,8 +36,6 @@ FIRM_TEXTS = 3
 # Share of the entity's information from which a term is generalised, and removed.
 GENERALISE_AT, REMOVE_AT = 0.8, 0.99
 FILTER_BITS = 1 << 20
-# Error of the count of texts that hold a term.
-COUNT_ERROR = 0.03
 
 
 def _digits(match: Column) -> Column:
@@ -65,16 +62,20 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _laid_out(text: Column, pattern: str, valid) -> Column:
-    """Start and end (code points) of the valid matches: lengths of gaps and matches added up."""
+def _laid_out(text: Column, pattern: str, valid, named: bool = False) -> Column:
+    """Start and end (code points) of the valid matches: lengths of gaps and matches added up.
+
+    ``named`` adds the match in lower case as ``term``.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    none = F.array().cast("array<struct<start:long,end:long>>")
+    none = F.array().cast("array<struct<start:long,end:long" + ",term:string>>" * named + ">>" * (not named))
 
     def step(s: Column, x: Column) -> Column:
         start = s["at"] + F.length(x["gap"])
         end = start + F.length(x["match"])
-        spans = F.when(valid(x["match"]), F.concat(s["spans"], F.array(F.struct(start.alias("start"), end.alias("end")))))
+        span = [start.alias("start"), end.alias("end")] + [F.lower(x["match"]).alias("term")] * named
+        spans = F.when(valid(x["match"]), F.concat(s["spans"], F.array(F.struct(*span))))
         return F.struct(end.alias("at"), spans.otherwise(s["spans"]).alias("spans"))
 
     # The last gap has no match after it.
@@ -108,81 +109,109 @@ def _text_key(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
-def _mentions(spans: Column, text: Column) -> Column:
-    """Each span with what it names and the text around it."""
+def _names(spans: Column, text: Column) -> Column:
+    """What the spans name, each once."""
     def one(s: Column) -> Column:
         name = F.substr(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
         name = F.when(s["kind"].isin("card", "phone"), _digits(name)).otherwise(F.lower(name))
-        left = F.greatest(s["start"] - REACH, F.lit(0).cast("long"))
-        return F.struct(
-            s["kind"].alias("kind"), name.alias("name"), left.alias("left_at"), s["end"].alias("right_at"),
-            F.substr(text, (left + 1).cast("int"), (s["start"] - left).cast("int")).alias("left"),
-            F.substr(text, (s["end"] + 1).cast("int"), F.lit(REACH)).alias("right"))
-    return F.transform(spans, one)
+        return F.struct(s["kind"].alias("kind"), name.alias("name"))
+    return F.array_distinct(F.transform(spans, one))
+
+
+def _terms(text: Column) -> Column:
+    """The terms of a whole text, each once."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
 def protected(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, key, spans, mentions)`` of every row; equal texts have equal keys."""
+    """``(doc_id, key, spans, names, terms)`` of every row; equal texts have equal keys.
+
+    ``terms`` are those of the whole text, empty where it names nothing.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("body"), found_spans(F.col(text)).alias("spans"))
+    none = F.array().cast("array<string>")
     return rows.select("doc_id", _text_key(F.col("body")).alias("key"), "spans",
-                       _mentions(F.col("spans"), F.col("body")).alias("mentions"))
+                       _names(F.col("spans"), F.col("body")).alias("names"),
+                       F.when(F.size("spans") > 0, _terms(F.col("body"))).otherwise(none).alias("terms"))
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, text: str = "text",
-                     generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """``(key, term, start, end, ratio)``: where in which texts a term gives an entity away.
+def _each_once(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``(key, body)`` of every distinct text. Only texts that may have copies are shuffled."""
+    copied = found.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select(
+        F.xxhash64("key").alias("hash"))
+    bitmap = stage(bitmap_of(copied, FILTER_BITS), "copied")
+    body = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("body"))
+    rows = body.select(_text_key(F.col("body")).alias("key"), "body").withColumn(
+        "copied", may_hold(bitmap.select("bitmap").scalar(), F.xxhash64("key"), FILTER_BITS))
+    again = rows.where("copied").groupBy("key").agg(F.max("body").alias("body"))
+    return rows.where(~F.col("copied")).select("key", "body").union(again)
+
+
+def telling_terms(found: DataFrame, docs: DataFrame, text: str = "text",
+                  generalise_at: float = GENERALISE_AT) -> DataFrame:
+    """``(term, ratio)`` of the terms that give an entity away, by the entity they say most of.
 
-    Counts are of distinct texts over the whole corpus, so copies prove nothing. The number of
-    texts with a term is a sketch (error ``COUNT_ERROR``) that does not depend on partitioning.
+    Counts are exact and of distinct whole texts over the whole corpus, so copies prove nothing.
     """
-    mention = found.select("key", F.explode("mentions").alias("m")).select("key", "m.*").distinct()
-    sides = mention.select("key", "kind", "name", F.explode(F.array(
-        F.struct(F.col("left_at").alias("at"), F.col("left").alias("words")),
-        F.struct(F.col("right_at").alias("at"), F.col("right").alias("words")))).alias("side"))
-    placed = F.explode(_laid_out(F.col("side.words"), TERM, lambda m: F.lit(True)))
-    # A word that the window cuts is no whole term.
-    terms = sides.select("key", "kind", "name", "side", placed.alias("p")).where(
-        (F.col("p.start") > 0) & (F.col("p.end") < F.length("side.words"))
-    ).select(
-        "key", "kind", "name",
-        F.lower(F.substr("side.words", (F.col("p.start") + 1).cast("int"), (F.col("p.end") - F.col("p.start")).cast("int"))).alias("term"),
-        (F.col("side.at") + F.col("p.start")).alias("start"), (F.col("side.at") + F.col("p.end")).alias("end"))
-    terms = stage(terms.distinct(), "terms")
-    of_entity = mention.select("kind", "name", "key").distinct().groupBy("kind", "name").agg(F.count("*").alias("n_entity"))
-    together = (
-        terms.select("kind", "name", "term", "key").distinct()
-        .groupBy("kind", "name", "term").agg(F.count("*").alias("n_both"))
-    )
-    together = stage(together, "together")
-    wanted = stage(together.select("term").distinct().withColumn("hash", F.xxhash64("term")), "wanted")
-    bitmap = stage(bitmap_of(wanted, FILTER_BITS), "bitmap")
-    word = docs.where(F.col(text).isNotNull()).select(
-        F.xxhash64(text).alias("of"), F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("term"))
-    word = word.withColumn("bitmap", bitmap.select("bitmap").scalar()).where(
-        may_hold(F.col("bitmap"), F.xxhash64("term"), FILTER_BITS)).select("of", "term")
-    of_term = word.join(wanted.select("term"), "term").groupBy("term").agg(
-        F.approx_count_distinct("of", COUNT_ERROR).alias("n_term"))
-    texts = docs.agg(F.count_distinct(F.xxhash64(F.coalesce(F.col(text), F.lit("")))).alias("n")).select("n").scalar()
-    counted = together.join(of_entity, ["kind", "name"]).join(of_term, "term").withColumn("n", texts)
-    most = F.greatest("n_term", "n_both")
-    shared = F.log2(F.col("n")) + F.log2("n_both") - F.log2(most) - F.log2("n_entity")
-    chance = F.when(F.col("n_both") < FIRM_TEXTS, F.pow(most / F.col("n"), F.col("n_both"))).otherwise(0.0)
+    own = stage(found.where(F.size("spans") > 0).groupBy("key").agg(
+        F.first("names").alias("names"), F.first("terms").alias("terms")), "own")
+    # Entities that stand in the same texts have the same counts with every term: one stands for all.
+    mention = own.select("key", F.explode("names").alias("e"))
+    entity = mention.groupBy("e").agg(
+        F.count("*").alias("n_entity"), F.bit_xor(F.xxhash64("key")).alias("x"),
+        F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
+    texts = found.agg(F.count_distinct("key").alias("n")).select("n").scalar()
+    alike = entity.groupBy("n_entity", "x", "y").agg(F.min("e").alias("e")).withColumn("n", texts)
+    # As n_both <= n_entity, a term in more texts than this cannot reach the ratio.
+    most = F.pow(F.col("n"), 1 - generalise_at) * F.pow("n_entity", generalise_at) * (1 + 1e-9)
+    alike = stage(alike.where(F.col("n") > F.col("n_entity")).select("e", "n_entity", "n", most.alias("most")), "entities")
+    held = stage(mention.join(alike, "e").select(
+        "key", F.struct("n_entity", "e").alias("entity"), "n", "most"), "held")
+    counted = _each_once(found, docs, text).select(F.explode(_terms(F.col("body"))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("n_term"))
+    bound = alike.agg(F.max("most").alias("most")).select("most").scalar()
+    rare = stage(counted.withColumn("bound", bound).where(F.col("n_term") <= F.col("bound")).select(
+        "term", "n_term", F.xxhash64("term").alias("hash")), "rare")
+    bitmap = stage(bitmap_of(rare, FILTER_BITS), "bitmap")
+    terms = own.select("key", F.explode("terms").alias("term")).where(
+        may_hold(bitmap.select("bitmap").scalar(), F.xxhash64("term"), FILTER_BITS)).join(rare.drop("hash"), "term")
+    together = terms.join(held, "key").where(F.col("n_term") <= F.col("most")).groupBy(
+        "entity", "term", "n_term", "n").agg(F.count("*").alias("n_both"))
+    n_entity = F.col("entity.n_entity")
+    shared = F.log2(F.col("n")) + F.log2("n_both") - F.log2("n_term") - F.log2(n_entity)
+    chance = F.when(F.col("n_both") < FIRM_TEXTS, F.pow(F.col("n_term") / F.col("n"), F.col("n_both"))).otherwise(0.0)
     shared = shared + F.log2(1 - chance)
-    own = F.log2(F.col("n")) - F.log2("n_entity")
-    telling = counted.where((own > 0) & (chance < 1)).withColumn("ratio", F.least(shared / own, F.lit(1.0))).where(
-        F.col("ratio") >= generalise_at).select("kind", "name", "term", "ratio")
-    return terms.join(telling, ["kind", "name", "term"]).groupBy("key", "term", "start", "end").agg(
-        F.max("ratio").alias("ratio"))
+    ratio = F.least(shared / (F.log2(F.col("n")) - F.log2(n_entity)), F.lit(1.0))
+    return together.where(chance < 1).select("term", ratio.alias("ratio")).where(
+        F.col("ratio") >= generalise_at).groupBy("term").agg(F.max("ratio").alias("ratio"))
+
+
+def disclosing_terms(found: DataFrame, docs: DataFrame, text: str = "text",
+                     generalise_at: float = GENERALISE_AT) -> DataFrame:
+    """``(key, terms)``: where in which texts, with an entity or without, a telling term stands."""
+    telling = stage(telling_terms(found, docs, text, generalise_at).withColumn("hash", F.xxhash64("term")), "telling")
+    bitmap = stage(bitmap_of(telling, FILTER_BITS), "telling-bitmap").select("bitmap").scalar()
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("body")).withColumn("bitmap", bitmap)
+
+    def known(term: Column) -> Column:
+        return may_hold(F.col("bitmap"), F.xxhash64(F.lower(term)), FILTER_BITS)
+
+    # Only what the bitmap lets through is kept as a place.
+    rows = rows.where(F.exists(F.regexp_extract_all("body", F.lit(TERM), F.lit(0)), known))
+    placed = rows.select(_text_key(F.col("body")).alias("key"), F.explode(
+        _laid_out(F.col("body"), TERM, known, named=True)).alias("p")).select("key", "p.*").distinct()
+    return placed.join(telling.drop("hash"), "term").groupBy("key").agg(F.sort_array(F.collect_list(
+        F.struct("start", "end", "ratio"))).alias("terms"))
 
 
 def all_spans(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """``(key, spans, terms)`` of every text that has any: its spans and the terms added to them."""
-    terms = disclosing_terms(found, docs, text).groupBy("key").agg(F.sort_array(F.collect_list(
-        F.struct("start", "end", "ratio"))).alias("terms"))
+    terms = disclosing_terms(found, docs, text)
     own = found.where(F.size("spans") > 0).select("key", "spans").distinct()
     none = F.array().cast("array<struct<start:long,end:long,ratio:double>>")
-    joined = own.join(terms, "key", "left").withColumn("terms", F.coalesce("terms", none))
+    joined = own.join(terms, "key", "full").select(
+        "key", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"), F.coalesce("terms", none).alias("terms"))
     # A term that touches an entity is gone with it.
     return joined.withColumn("terms", F.filter("terms", lambda t: ~F.exists(
         "spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))))
@@ -230,20 +259,20 @@ def rewritten(text: Column, spans: Column, terms: Column, remove_at: float = REM
 def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: str | None = None) -> DataFrame:
     """``docs`` with ``text`` rewritten, and the column ``length``, if named, set to its new length.
 
-    Null texts stay null; a text without personal data stays as it is, byte for byte.
+    Null texts stay null; a text without personal data or telling terms stays as it is, byte for byte.
     """
     prepared(docs.sparkSession)
     found = stage(protected(docs, doc_id, text), "protected")
     spans = stage(all_spans(found, docs, text), "spans").withColumnRenamed("key", "span_key")
-    rows = docs.select(boxed(docs))
+    bitmap = stage(bitmap_of(spans.select(F.xxhash64("span_key").alias("hash")), FILTER_BITS), "span-bitmap")
     own = F.col("row")[text]
-    # Every kind has a digit or an at sign, so other texts stay as they are without a join.
-    touched = F.coalesce(F.regexp_like(own, F.lit("[0-9@]")), F.lit(False))
-    joined = rows.where(touched).withColumn("text_key", _text_key(own)).join(
-        spans, F.col("text_key") == F.col("span_key"), "left")
+    # Texts that stay as they are go without a join.
+    rows = docs.select(boxed(docs)).withColumn("text_key", _text_key(own)).withColumn(
+        "touched", may_hold(bitmap.select("bitmap").scalar(), F.xxhash64("text_key"), FILTER_BITS))
+    joined = rows.where("touched").join(spans, F.col("text_key") == F.col("span_key"), "left")
     joined = joined.withColumn("new_text", F.when(F.col("span_key").isNull(), own).otherwise(
         rewritten(own, F.col("spans"), F.col("terms")))).select("row", "new_text")
-    joined = joined.union(rows.where(~touched).withColumn("new_text", own))
+    joined = joined.union(rows.where(~F.col("touched")).select("row", own.alias("new_text")))
     columns = []
     for name, kind in docs.dtypes:
         if name == text:

@@ -199,3 +199,14 @@ def test_terms_of_an_entity_in_one_text_disclose_it(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     clean = {r.doc_id: r.text for r in sanitise.sanitise(rows).collect()}
     assert clean[62] == "please write to  about [TERM] on [EMAIL] our offer"
+
+
+def test_telling_terms_go_wherever_they_stand(spark):
+    # The surname stands far from the e-mail too; the firm is told in a text without an entity.
+    far = "please write to us on day about our offer " * 5
+    texts = [f"{far}{i}" for i in range(62)]
+    texts += [f"z@q.com {far}Zorbanek, Quillfeather {far}zorbanek", f"{far}QUILLFEATHER"]
+    rows = spark.createDataFrame(list(enumerate([*texts, texts[-1], None])), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(rows).collect()}
+    assert clean[62] == f"[EMAIL] {far}, [TERM] {far}"
+    assert clean[63] == clean[64] == f"{far}[TERM]" and clean[0] == texts[0] and clean[65] is None
