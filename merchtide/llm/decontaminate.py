@@ -8,6 +8,8 @@ how the item lies against the document; both are then compared word by word alon
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,6 @@ FILTER_BITS = 1 << 22
 # An overlap counts from so many equal words on, and when so many of its words are equal.
 LEAST_WORDS = 10
 LEAST_SHARE = 0.8
-# The extension around a hit stops when mismatches have cost so much more than matches gained.
-MISMATCH, DROP = 2, 8
 
 
 def words_of(text: Column) -> Column:
@@ -58,36 +58,51 @@ def _hashes(windows: DataFrame, keep: list[str], count: int) -> DataFrame:
     return windows.select(*keep, "at", each).where(F.col("hash").isNotNull())
 
 
-def _overlap(shift: Column) -> Column:
-    """The best stretch of equal words around where item and document lie ``shift`` apart.
+def _overlap(shift: Column, least_share: float) -> Column:
+    """The stretch with most equal words of which ``least_share`` are, item and document ``shift`` apart.
 
-    Walks the common range once: the running score gains 1 per equal word and loses
-    ``MISMATCH`` per other, starts anew below zero or ``DROP`` under its best, and the stretch
-    with the best score is kept as ``(score, same, first, last)`` in item positions.
+    With a running sum that rises for an equal word and falls for another, a stretch has the share
+    when the sum does not end below its start. So the widest stretch that ends at a word starts
+    where the sum first was no higher; ``lows`` holds that place for every depth below zero. The
+    result is ``(best_same, best_first, best_last)`` in item positions, from an equal word to one.
     """
+    share = Fraction(str(least_share))
+    up, down = share.denominator - share.numerator, share.numerator
     begin = F.greatest(-shift, F.lit(0))
     end = F.least(F.size("item_words"), F.size("words") - shift)
     empty = F.struct(*[F.lit(v).alias(n) for n, v in (
-        ("score", 0), ("same", 0), ("first", 0), ("top", 0),
-        ("best", 0), ("best_same", 0), ("best_first", 0), ("best_last", -1))])
+        ("sum", 0), ("same", 0), ("best_same", 0), ("best_first", 0), ("best_last", -1))],
+        F.array().cast("array<struct<at:int,same:int>>").alias("lows"))
+
+    def same_word(k: Column) -> Column:
+        return F.get("item_words", k) == F.get("words", k + shift)
 
     def step(s: Column, k: Column) -> Column:
-        equal = F.get("item_words", k) == F.get("words", k + shift)
-        anew = (s["score"] <= 0) | (s["score"] < s["top"] - DROP)
-        score = F.when(anew, 0).otherwise(s["score"]) + F.when(equal, 1).otherwise(-MISMATCH)
-        same = F.when(anew, 0).otherwise(s["same"]) + F.when(equal, 1).otherwise(0)
-        first = F.when(anew, k).otherwise(s["first"])
-        top = F.greatest(F.when(anew, 0).otherwise(s["top"]), score)
-        better = score > s["best"]
+        equal = same_word(k)
+        total = s["sum"] + F.when(equal, up).otherwise(-down)
+        same = s["same"] + F.when(equal, 1).otherwise(0)
+        start = F.when(total >= 0, F.struct(begin.alias("at"), F.lit(0).alias("same"))).otherwise(
+            F.get(s["lows"], -total - 1))
+        better = equal & (same - start["same"] > s["best_same"])
+        deeper = -total - F.size(s["lows"])
+        place = F.struct((k + 1).alias("at"), same.alias("same"))
         return F.struct(
-            score.alias("score"), same.alias("same"), first.alias("first"), top.alias("top"),
-            F.when(better, score).otherwise(s["best"]).alias("best"),
-            F.when(better, same).otherwise(s["best_same"]).alias("best_same"),
-            F.when(better, first).otherwise(s["best_first"]).alias("best_first"),
-            F.when(better, k).otherwise(s["best_last"]).alias("best_last"))
+            total.alias("sum"), same.alias("same"),
+            F.when(better, same - start["same"]).otherwise(s["best_same"]).alias("best_same"),
+            F.when(better, start["at"]).otherwise(s["best_first"]).alias("best_first"),
+            F.when(better, k).otherwise(s["best_last"]).alias("best_last"),
+            F.when(deeper > 0, F.concat(s["lows"], F.array_repeat(place, deeper))).otherwise(s["lows"]).alias("lows"))
 
     walk = F.when(end > begin, F.sequence(begin, end - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(walk, empty, step)
+
+    def trimmed(s: Column) -> Column:
+        # Other words before the first equal one only thin the stretch.
+        inside = F.when(s["best_same"] > 0, F.sequence(s["best_first"], s["best_last"]))
+        ahead = F.array_position(F.transform(inside, same_word), F.lit(True)) - 1
+        return F.struct(s["best_same"].alias("best_same"), (s["best_first"] + F.coalesce(ahead, F.lit(0))).cast("int").alias("best_first"),
+                        s["best_last"].alias("best_last"))
+
+    return F.aggregate(walk, empty, step, trimmed)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -96,7 +111,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
                    least_share: float = LEAST_SHARE) -> DataFrame:
     """``(doc_id, digest, item_id, n_same, n_overlap, n_item, share, first_word, last_word)``.
 
-    One row per document and item with a verified overlap: the longest one, counted in words of
+    One row per document and item with a verified overlap: the one with most equal words, counted in words of
     the document from 0. An overlap has ``least_words`` equal words (or all of a shorter item)
     and at least ``least_share`` of its words equal. Items shorter than the shortest seed are
     looked for as a whole. ``digest`` tells texts with the same id apart; repeated rows give one
@@ -144,7 +159,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
         lies.join(same_text.select(F.col("doc_id").alias("d"), F.col("digest").alias("g"), "words"),
                   F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g")))
         .join(item_words.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i")))
-        .withColumn("o", _overlap(F.col("shift")))
+        .withColumn("o", _overlap(F.col("shift"), least_share))
         .withColumn("n_overlap", F.col("o.best_last") - F.col("o.best_first") + 1)
         .withColumn("n_item", F.size("item_words"))
     )

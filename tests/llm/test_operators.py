@@ -210,3 +210,32 @@ def test_telling_terms_go_wherever_they_stand(spark):
     clean = {r.doc_id: r.text for r in sanitise.sanitise(rows).collect()}
     assert clean[62] == f"[EMAIL] {far}, [TERM] {far}"
     assert clean[63] == clean[64] == f"{far}[TERM]" and clean[0] == texts[0] and clean[65] is None
+
+
+def test_overlap_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    hidden = [True] * 50 + [False, True, True, True] * 60
+    masks = [hidden, hidden[::-1], [False] * 9, [True] * 12]
+    masks += [(rng.random(rng.integers(1, 70)) < p).tolist() for p in (0.5, 0.7, 0.8, 0.9) for _ in range(15)]
+    rows = [(i, [f"w{k}" for k in range(len(m))], ["x", *[f"w{k}" if e else "x" for k, e in enumerate(m)]])
+            for i, m in enumerate(masks)]
+    frame = spark.createDataFrame(rows, "i long, item_words array<string>, words array<string>")
+    found = frame.select("i", decontaminate._overlap(F.lit(1), 0.8).alias("o")).collect()
+    assert len(found) == len(masks)
+    for r in found:
+        mask, o = masks[r.i], r.o
+        sums = np.concatenate([[0], np.cumsum(mask)])
+        most = max((int(sums[b] - sums[a]) for a in range(len(mask)) for b in range(a + 1, len(mask) + 1)
+                    if 5 * (sums[b] - sums[a]) >= 4 * (b - a)), default=0)
+        assert o.best_same == most
+        if most:
+            part = mask[o.best_first:o.best_last + 1]
+            assert part[0] and part[-1] and sum(part) == most and 5 * most >= 4 * len(part)
+
+
+def test_a_thin_stretch_does_not_hide_a_verbatim_one(spark):
+    words = [f"w{k}" for k in range(290)]
+    text = " ".join(w if k < 50 or (k - 50) % 4 else "x" for k, w in enumerate(words))
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.contaminations(docs, items).collect()] == [1]
