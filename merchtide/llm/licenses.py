@@ -1,7 +1,7 @@
 """License statements by an exact set-similarity join of text blocks with templates.
 
-A block (a line) matches a template when it holds at least ``threshold`` of the template's
-distinct words. All words are put in one order, rarest in the corpus first. A matching block
+A block (a line, or as many words in a row as the template has, wherever lines break) matches a
+template when it holds at least ``threshold`` of the template's distinct words. All words are put in one order, rarest in the corpus first. A matching block
 must then hold one of the template's first ``n - need + 1`` words (prefix filter), must have
 ``need`` words (length filter), and from the first common word on both must have enough words
 left (positional filter). What remains is counted out.
@@ -10,6 +10,7 @@ left (positional filter). What remains is counted out.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -57,6 +58,7 @@ class Index:
     need: dict[str, int]
     ordered: dict[str, list[str]]
     prefix: dict[str, list[tuple[str, int]]]
+    length: dict[str, int]
 
     def matches(self, block: set[str]) -> dict[str, float]:
         """Template name to the share of its words that the block holds."""
@@ -82,6 +84,44 @@ class Index:
         return found
 
 
+    def windows(self, words: list[str]) -> list[tuple[str, int, int, float]]:
+        """Template, first word, number of words and share of the matches in sliding windows.
+
+        A window has the template's length in words. Of windows that overlap, the best counts.
+        """
+        known = [(at, w) for at, w in enumerate(words) if w in self.rank]
+        held = {w for _, w in known}
+        found = []
+        for name in sorted({n for w in held & self.prefix.keys() for n, _ in self.prefix[w]}):
+            template, need, length = set(self.ordered[name]), self.need[name], self.length[name]
+            if len(held & template) < need:
+                continue
+            own = [(at, w) for at, w in known if w in template]
+            inside: Counter[str] = Counter()
+            left, best, until = 0, None, -1
+            for at, word in own:
+                inside[word] += 1
+                while own[left][0] <= at - length:
+                    gone = own[left][1]
+                    inside[gone] -= 1
+                    if not inside[gone]:
+                        del inside[gone]
+                    left += 1
+                if len(inside) < need:
+                    continue
+                first = own[left][0]
+                match = (name, first, at - first + 1, len(inside) / len(template))
+                if best and first > until:
+                    found.append(best)
+                    best = None
+                if best is None or match[3] > best[3]:
+                    best = match
+                until = at
+            if best:
+                found.append(best)
+        return found
+
+
 def build_index(frequency: dict[str, int], templates: dict[str, str], threshold: float) -> Index:
     order = {}
     for name, text in templates.items():
@@ -94,7 +134,7 @@ def build_index(frequency: dict[str, int], templates: dict[str, str], threshold:
     for name, ws in ordered.items():
         for at, word in enumerate(ws[:len(ws) - need[name] + 1]):
             prefix.setdefault(word, []).append((name, at))
-    return Index(rank, need, ordered, prefix)
+    return Index(rank, need, ordered, prefix, {n: len(words_of(t)) for n, t in templates.items()})
 
 
 def word_frequency(docs: DataFrame, text: str, templates: dict[str, str]) -> dict[str, int]:
@@ -121,12 +161,24 @@ def scan(text: str | None, index: Index, phrases: dict[str, str]) -> dict:
     """Everything found in one text."""
     words: list[str] = []
     blocks = []
+    starts = []
     for number, line in enumerate((text or "").split("\n")):
         own = words_of(line)
+        starts.append(len(words))
         for name, share in sorted(index.matches(set(own)).items()):
             blocks.append({"line": number, "first_word": len(words), "n_words": len(own),
                            "template": name, "containment": share})
         words += own
+    lines = {}
+    for b in blocks:
+        lines.setdefault(b["template"], []).append((b["first_word"], b["first_word"] + b["n_words"]))
+    for name, first, n, share in index.windows(words):
+        # What a line of its own has given already is not counted again; lines come in order.
+        there = lines.get(name, ())
+        at = bisect_left(there, first + n, key=lambda x: x[0]) - 1
+        if at < 0 or there[at][1] <= first:
+            blocks.append({"line": bisect_right(starts, first) - 1, "first_word": first, "n_words": n,
+                           "template": name, "containment": share})
     joined = f" {' '.join(words)} "
     places, labels = [], set()
     for phrase, label in phrases.items():

@@ -239,3 +239,24 @@ def test_a_thin_stretch_does_not_hide_a_verbatim_one(spark):
     items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert [r.doc_id for r in decontaminate.contaminations(docs, items).collect()] == [1]
+
+
+def test_wrapped_license_notices_are_found():
+    index = licenses.build_index({}, licenses.TEMPLATES, licenses.THRESHOLD)
+    for name, template in licenses.TEMPLATES.items():
+        own = template.split()
+        for width in (1, 2, 5, 9):
+            lines = [" ".join(own[i:i + width]) for i in range(0, len(own), width)]
+            text = "some code here\n\n# " + "\n# ".join(lines) + "\n\nmore code\n" + "x y z\n" * 50
+            found = licenses.scan(text * 2, index, {})
+            assert name in found["labels"].split(","), (name, width)
+            mine = [b for b in found["blocks"] if b["template"] == name]
+            assert len(mine) == 2 and all(b["containment"] >= licenses.THRESHOLD for b in mine)
+    whole = licenses.scan("a\n" + licenses.TEMPLATES["isc"] + "\nb", index, {})
+    assert [(b["line"], b["first_word"]) for b in whole["blocks"] if b["template"] == "isc"] == [(1, 1)]
+    rng = np.random.default_rng(2)
+    for name, template in licenses.TEMPLATES.items():
+        words = list(rng.choice([*licenses.words_of(template), "x"], 300))
+        own, size = set(licenses.words_of(template)), index.length[name]
+        brute = any(len(own & set(words[i:i + size])) >= index.need[name] for i in range(len(words)))
+        assert brute == (name in {m[0] for m in index.windows(words)})
