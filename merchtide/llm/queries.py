@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchtide.llm import (
-    chat, decontaminate, language, licenses, mixing, neighbours, sanitise, simhash, toxicity, warc)
+    chat, decontaminate, language, lexical, licenses, mixing, neighbours, sanitise, simhash, toxicity, warc)
 from merchtide.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,3 +226,37 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *counts,
         F.sha2(sanitise.listed(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
         sanitise.listed(F.concat("spans", terms)).alias("spans"))
+
+
+@query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    items = table(spark, folder, "benchmark").select("item_id", "text")
+    return lexical.search(docs, items)
+
+
+ORACLES["op11_lexical_search"] = r"""
+WITH t AS (
+    SELECT doc_id, row_number() OVER () AS row, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+d AS (SELECT row, any_value(doc_id) AS doc_id, count(*) AS n FROM t GROUP BY row),
+c AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+p AS (SELECT row, term, count(*) AS tf FROM t GROUP BY row, term),
+w AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight
+    FROM p, c GROUP BY term, docs),
+q AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+m AS (SELECT row, doc_id, 25 + (75 * n * docs) // total AS norm FROM d, c),
+s AS (
+    SELECT item_id, row, doc_id,
+        CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * norm))) AS BIGINT) AS score
+    FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (row) GROUP BY item_id, row, doc_id),
+r AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank,
+        doc_id, score FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""
