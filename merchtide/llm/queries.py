@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchtide.llm import (
-    chat, decontaminate, language, lexical, licenses, mixing, neighbours, sanitise, simhash, toxicity, warc)
+    chat, decontaminate, language, lexical, licenses, mixing, neighbours, packing, sanitise, simhash, toxicity,
+    warc)
 from merchtide.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -260,3 +261,16 @@ r AS (
     SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank,
         doc_id, score FROM s WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
+@query
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document in sequences of 2048 tokens with the mixture of the sources."""
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    pieces = packed.select("sequence_id", "tokens", F.explode("pieces").alias("p"))
+    return pieces.select(
+        "p.doc_id", "p.start", "p.length", packing.piece_crc(F.col("tokens"), F.col("p")).alias("ids_crc32"),
+        "p.doc_tokens", "sequence_id", "p.offset")
