@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchtide.llm import (
-    chat, decontaminate, language, lexical, licenses, mixing, neighbours, packing, sanitise, simhash, toxicity,
-    warc)
+    chat, decontaminate, language, lexical, licenses, mixing, neighbours, packing, sanitise, simhash, spelling,
+    toxicity, warc)
 from merchtide.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -274,3 +274,9 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select(
         "p.doc_id", "p.start", "p.length", packing.piece_crc(F.col("tokens"), F.col("p")).alias("ids_crc32"),
         "p.doc_tokens", "sequence_id", "p.offset")
+
+
+@query
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of the documents with its near words, form and root."""
+    return spelling.variants(table(spark, folder, "documents").select("doc_id", "text"))
