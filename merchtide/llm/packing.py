@@ -12,6 +12,7 @@ rounds by less than one token a queue.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Mapping
 
 import numpy as np
@@ -30,8 +31,8 @@ END_ID = 1
 FRACTION = 16
 # The sources with most characters have a queue each; all that are left share the last queue.
 MOST_QUEUES = 1024
-# Words with known ids a task remembers before it starts anew.
-MOST_WORDS = 1_000_000
+# Words with known ids a task remembers before it starts anew, and tokens it cuts at once.
+MOST_WORDS, TOKENS_AT_ONCE = 400_000, 1 << 20
 # Texts of these characters only are cut at white space and remembered by lower-case word; others
 # go to the tokenizer whole. Below U+0130 lower case and composition work character by character.
 UNUSUAL = re.compile("[\x1c-\x1fİ-\U0010ffff]")
@@ -41,41 +42,42 @@ PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 class Encoder:
     """Ids of whole texts as packed numbers, the same as the tokenizer's own.
 
-    Holds for tokenizers that drop white space, fold case and split words before merging, as
-    ``word_bpe_49k.json`` does; ``by_word=False`` makes no such assumption.
+    ``by_word`` holds for tokenizers that drop white space, fold case, split words by ``PARTS`` and
+    merge the bytes of a part, as ``word_bpe_49k.json`` does; without it nothing is assumed.
     """
 
     def __init__(self, path: str, by_word: bool = True):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.format = "H" if self.kind == "<u2" else "I"
         self.by_word = by_word
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        # How the tokenizer spells the bytes of a character.
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelled = {c: spelled.pre_tokenize_str(chr(c))[0][0] for c in range(1, 0x130)}
 
     def _whole(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(found, dtype=self.kind).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if "<|" in word:  # may be a special token
+        if "<|" in word or "\0" in word:  # may be a special token
             return self._whole(word)
-        found = []
-        for part in PARTS.findall(word):
-            if part not in self.parts:
-                self.parts[part] = self._whole(part)
-            found.append(self.parts[part])
-        return b"".join(found)
+        merged = self.tokenizer.model.tokenize
+        parts = (word,) if word.isalpha() else PARTS.findall(word)
+        found = [t.id for part in parts for t in merged(
+            part if part.isascii() and part.isalpha() else part.translate(self.spelled))]
+        return struct.pack(f"<{len(found)}{self.format}", *found)
 
     def encode(self, text: str) -> bytes:
         if not self.by_word or UNUSUAL.search(text):
             return self._whole(text)
         words = text.lower().split()
-        known = self.words
+        known = self.known
         if len(known) + len(words) > MOST_WORDS:
             known.clear()
-            self.parts.clear()
         for word in set(words).difference(known):
             known[word] = self._word(word)
         return b"".join([known[word] for word in words])
@@ -123,53 +125,70 @@ def quanta(totals: list[int], weights: list[float] | None, length: int = LENGTH)
     return [max(1, -int(-w * (length << FRACTION) // whole)) if whole else 1 for w in weights]
 
 
-def places(queue: int, first: int, n: int, totals: list[int], quantum: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Where the ``n`` tokens of ``queue`` from ``first`` on go: starts of runs, and their places in the whole."""
-    at = np.arange(first, first + n, dtype=np.int64)
+def places(
+    queue: np.ndarray, first: np.ndarray, n: np.ndarray, totals: list[int], quantum: list[int], length: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of documents with ``n`` tokens from ``first`` on in their ``queue``.
+
+    Four arrays: the number of the document, where the piece starts in it, its tokens, and its
+    place when all rounds are laid end to end. A piece ends where a round or a sequence does.
+    """
+    document = np.repeat(np.arange(len(n)), n)
+    start = np.arange(len(document)) - np.repeat(np.cumsum(n) - n, n)
+    at = start + first[document]
     # The round in which a token is served: the first after which the queue has served more.
-    rounds = -(-((at + 1) << FRACTION) // quantum[queue]) - 1
-    starts = np.flatnonzero(np.diff(rounds, prepend=-1))
-    rounds = rounds[starts]
-    place = at[starts] - np.minimum(rounds * quantum[queue] >> FRACTION, totals[queue])
+    rounds = -(-((at + 1) << FRACTION) // np.array(quantum)[queue[document]]) - 1
+    opens = np.append(True, (rounds[1:] != rounds[:-1]) | (document[1:] != document[:-1]))
+    runs = np.flatnonzero(opens)
+    size = np.diff(np.append(runs, len(document)))
+    document, start, at, rounds = document[runs], start[runs], at[runs], rounds[runs]
+    own = queue[document]
+    place = at - np.minimum(rounds * np.array(quantum)[own] >> FRACTION, np.array(totals)[own])
     for other, (total, gain) in enumerate(zip(totals, quantum)):
         # Queues before this one have had their turn of the round already.
-        place += np.minimum((rounds + (other < queue)) * gain >> FRACTION, total)
-    return starts, place
+        place += np.minimum((rounds + (other < own)) * gain >> FRACTION, total)
+    # A run is no longer than a sequence, so it crosses one bound at most.
+    room = length - place % length
+    over = size > room
+    twice = np.repeat(np.arange(len(size)), 1 + over)
+    second = np.append(False, twice[1:] == twice[:-1])
+    shift = np.where(second, room[twice], 0)
+    size = np.where(second, size[twice] - shift, np.minimum(size, room)[twice])
+    document, start, place = document[twice], start[twice] + shift, place[twice] + shift
+    # Runs that touch within a sequence are one piece.
+    apart = (document[1:] != document[:-1]) | (place[1:] != place[:-1] + size[:-1]) | (place[1:] % length == 0)
+    first_runs = np.flatnonzero(np.append(True, apart))
+    return document[first_runs], start[first_runs], np.add.reduceat(size, first_runs), place[first_runs]
 
 
 def _cut(rows: DataFrame, kind: str, totals: list[int], quantum: list[int], length: int) -> DataFrame:
     """The pieces of all documents, cut where rounds and sequences end."""
 
+    def lots(batch):
+        """Rows of a bounded number of tokens, one at least."""
+        bound = batch["n"].cumsum() // TOKENS_AT_ONCE
+        for _, lot in batch.groupby(bound, sort=False):
+            yield lot
+
     def cut(batches):
         for batch in batches:
-            found = []
-            for row in batch.itertuples(index=False):
-                ids = np.frombuffer(row.ids, dtype="<u2" if len(row.ids) == 2 * row.n else "<u4").astype("<u4")
-                starts, place = places(row.queue, row.base + row.before, row.n, totals, quantum)
-                ends = np.append(starts[1:], row.n)
-                # Runs that touch are one piece; a piece ends where its sequence does.
-                for start, end, at in _pieces(starts, ends, place, length):
-                    found.append((at // length, at % length, row.doc_id, start, end - start, row.n, ids[start:end].tobytes()))
-            yield pd.DataFrame(found, columns=["sequence_id", "offset", "doc_id", "start", "length", "doc_tokens", "ids"])
+            for lot in lots(batch):
+                n, bodies = lot["n"].to_numpy(), lot["ids"].tolist()
+                document, start, size, place = places(
+                    lot["queue"].to_numpy(), (lot["base"] + lot["before"]).to_numpy(), n, totals, quantum, length)
+                width = [len(body) // count for body, count in zip(bodies, n.tolist())]
+                ids = [np.frombuffer(body, f"<u{w}").astype("<u4").tobytes() for body, w in zip(bodies, width)]
+                yield pd.DataFrame({
+                    "sequence_id": place // length, "offset": place % length,
+                    "doc_id": lot["doc_id"].iloc[document].reset_index(drop=True),
+                    "start": start, "length": size, "doc_tokens": n[document],
+                    "ids": [ids[d][4 * s:4 * e] for d, s, e in zip(
+                        document.tolist(), start.tolist(), (start + size).tolist())]})
 
     return rows.mapInPandas(
         cut, f"sequence_id long, offset long, doc_id {kind}, start long, length long, doc_tokens long, ids binary")
 
 
-def _pieces(starts: np.ndarray, ends: np.ndarray, place: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """``(start, end, place)`` of each piece."""
-    joined = np.flatnonzero(np.append(True, place[1:] != place[:-1] + (ends - starts)[:-1]))
-    last = np.append(joined[1:], len(starts)) - 1
-    found = []
-    for start, end, at in zip(starts[joined].tolist(), ends[last].tolist(), place[joined].tolist()):
-        while start < end:
-            stop = min(end, start + length - at % length)
-            found.append((start, stop, at))
-            at += stop - start
-            start = stop
-    return found
-
-
 def pack(
     docs: DataFrame, tokenizer: str, weights: Mapping[str | None, float] | None = None, end_id: int = END_ID,
     length: int = LENGTH, doc_id: str = "doc_id", source: str = "source", text: str = "text",
