@@ -1,4 +1,4 @@
-"""A filter of fixed size for a set of hashes, as an array of longs in one row."""
+"""A filter of bounded size for a set of hashes, as an array of longs in one row."""
 
 from __future__ import annotations
 
@@ -20,6 +20,14 @@ def bitmap_of(hashes: DataFrame, bits: int, column: str = "hash") -> DataFrame:
         lambda x: x["word"]).alias("bitmap"))
 
 
+def bits_for(rows: int) -> int:
+    """Bits for so many hashes: 16 to 32 each, which lets through one other hash in 16 at most; 8 MB in all.
+
+    Beyond 4 million hashes the filter lets more through, which costs time and changes no result.
+    """
+    return min(1 << 26, max(1 << 10, 1 << (16 * rows).bit_length()))
+
+
 def may_hold(bitmap: Column, hash_: Column, bits: int) -> Column:
     """False only for hashes outside the set; null for a null hash."""
     spot = F.pmod(hash_, F.lit(bits))

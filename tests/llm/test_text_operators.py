@@ -1,6 +1,7 @@
 """The text operators against brute force, and on nulls, empty texts, ties and empty tables."""
 
 import re
+import time
 
 import numpy as np
 import pytest
@@ -191,25 +192,53 @@ def test_toxic_sentence_is_found(spark):
     assert model.score("Nice day. You kind person.")[0] < 0.3 and model.score("") == (0.0, [])
 
 
-def test_terms_of_an_entity_in_one_text_disclose_it(spark):
-    # 64 texts: the surname stands in one of them, the firm in two, the rest in all.
-    texts = [f"please write to us on day {i} about our offer" for i in range(62)]
-    texts += ["please write to Zorbanek about Quillfeather on z@q.com our offer",
-              "please write to Quillfeather about our offer"]
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    clean = {r.doc_id: r.text for r in sanitise.sanitise(rows).collect()}
-    assert clean[62] == "please write to  about [TERM] on [EMAIL] our offer"
-
-
-def test_telling_terms_go_wherever_they_stand(spark):
-    # The surname stands far from the e-mail too; the firm is told in a text without an entity.
-    far = "please write to us on day about our offer " * 5
-    texts = [f"{far}{i}" for i in range(62)]
-    texts += [f"z@q.com {far}Zorbanek, Quillfeather {far}zorbanek", f"{far}QUILLFEATHER"]
-    rows = spark.createDataFrame(list(enumerate([*texts, texts[-1], None])), "doc_id long, text string")
-    clean = {r.doc_id: r.text for r in sanitise.sanitise(rows).collect()}
-    assert clean[62] == f"[EMAIL] {far}, [TERM] {far}"
-    assert clean[63] == clean[64] == f"{far}[TERM]" and clean[0] == texts[0] and clean[65] is None
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Texts in which ten surnames stand with one address each, and a hundred words once with one."""
+    rng = np.random.default_rng(1)
+    words = ["w" + "".join(rng.choice(list("abcdefgh"), 6)) for _ in range(400)]
+    rare = iter(["r" + "".join(rng.choice(list("klmnopqrst"), 9)) for _ in range(4000)])
+    texts = [" ".join([*rng.choice(words, 40), next(rare), next(rare)]) for _ in range(1500)]
+    names = {"".join(rng.choice(list("uvxyz"), 9)): k for k in range(10)}
+    for name, k in names.items():
+        for j in range(4):
+            texts[k * 20 + j] += f" {next(rare)} {name.title()} wrote p{k}@x{k}.com {next(rare)}"
+        texts[k * 20 + 10] += f" seen {name.upper()}"
+    for k in range(100):
+        texts[700 + k] += f" {next(rare)} once{k}@y.org {next(rare)}"
+    frame = spark.createDataFrame([*enumerate(texts), (5000, texts[10]), (None, None), (5001, "")], "doc_id long, text string")
+    return names, texts, words, frame
+
+
+def test_terms_that_stand_with_an_entity_again_and_again_are_found(planted):
+    names, texts, _, docs = planted
+    found = sanitise.stage(sanitise.protected(docs), "found")
+    telling = {r.term for r in sanitise.telling_terms(found, docs).collect()}
+    assert telling == set(names)  # recall 1, precision 1: no word seen once goes
+    rows = sanitise.sanitise(docs).collect()
+    clean = {r.doc_id: r.text for r in rows}
+    assert len(rows) == docs.count() and clean[None] is None and clean[5001] == ""
+    assert "[TERM] wrote [EMAIL]" in clean[0] and clean[10].endswith("seen [TERM]") and clean[5000] == clean[10]
+    assert clean[300] == texts[300]
+    assert clean[700].split() == [w if "@" not in w else "[EMAIL]" for w in texts[700].split()]
+
+
+def test_long_texts_take_linear_time(spark, planted):
+    names, _, words, docs = planted
+    rng = np.random.default_rng(2)
+    body = [str(w) for w in rng.choice([*words, *names], 100_000)]
+    both = docs.union(spark.createDataFrame([(9999, " ".join(body))], docs.schema))
+    start = time.perf_counter()
+    text = sanitise.sanitise(both).where("doc_id = 9999").first().text
+    assert time.perf_counter() - start < 60
+    assert text == " ".join("[TERM]" if w in names else w for w in body)
+
+
+def test_running_values_equal_a_loop(spark):
+    values = list(range(1, 1000))
+    row = spark.createDataFrame([(values, [])], "v array<long>, e array<long>").select(
+        sanitise._before(F.col("v"), lambda a, b: a + b).alias("s"), sanitise._before(F.col("e"), lambda a, b: a + b).alias("e"))
+    assert row.first().s == [sum(values[:i]) for i in range(1000)] and row.first().e == [0]
 
 
 def test_overlap_equals_brute_force(spark):
