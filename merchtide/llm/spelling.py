@@ -117,8 +117,7 @@ def node_paths(words: list[str], head: list[int], tail: list[int], first_number:
 
 
 def _numbered(words: DataFrame, lots: int, label: str) -> DataFrame:
-    """``(id, own, nodes)`` of ``(word, own)``: ``id`` follows the order of the words."""
-    kind = words.schema["own"].dataType.simpleString()
+    """``(id, word, own, nodes)`` of ``(word, own)``: ``id`` follows the order of the words."""
     dealt = stage(words.repartitionByRange(lots, "word").select(
         "word", "own", F.spark_partition_id().alias("lot")), f"{label}-lots")
     bounds = dealt.groupBy("lot").agg(F.min("word").alias("first"), F.max("word").alias("last"))
@@ -130,10 +129,11 @@ def _numbered(words: DataFrame, lots: int, label: str) -> DataFrame:
         at = int(lot.at[0, "lot"])
         start = (at + 1) << LOT_BITS
         nodes = node_paths(lot["word"].tolist(), *paths[at], start)
-        return pd.DataFrame({"id": range(start, start + len(lot)), "own": lot["own"], "nodes": nodes})
+        return pd.DataFrame({
+            "id": range(start, start + len(lot)), "word": lot["word"], "own": lot["own"], "nodes": nodes})
 
     return stage(dealt.groupBy("lot").applyInPandas(
-        number, f"id long, own {kind}, nodes array<long>"), label)
+        number, "id long, word string, own long, nodes array<long>"), label)
 
 
 def _pairs(words: DataFrame) -> DataFrame:
@@ -204,8 +204,7 @@ def variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lot_wo
     prepared(docs.sparkSession)
     words = stage(word_counts(docs, doc_id, text), "words")
     lots = max(1, -(-words.count() // lot_words))
-    forward = _numbered(words.select("word", F.struct("word", "n").alias("own")), lots, "forward")
-    forward = forward.select("id", "own.*", "nodes")
+    forward = _numbered(words.select("word", F.col("n").alias("own")), lots, "forward").withColumnRenamed("own", "n")
     backward = _numbered(forward.select(F.reverse("word").alias("word"), F.col("id").alias("own")), lots, "backward")
     both = forward.join(backward.select(F.col("own").alias("id"), F.col("nodes").alias("back")), "id")
     near = _nearest(_pairs(both.select("id", "n", F.split("word", "").alias("letters"), "nodes", "back")))
