@@ -181,7 +181,8 @@ def _ranked(docs: DataFrame, block: Block, number: int, most: int, kinds: str) -
                     index.search(item, top, most)
         rows = [((number << 32) + at, block.ids[at], doc_id, -less)
                 for at, top in enumerate(tops) for less, _, doc_id in top]
-        yield pd.DataFrame(rows, columns=["item", "item_id", "doc_id", "score"], dtype=object)
+        if rows:
+            yield pd.DataFrame(rows, columns=["item", "item_id", "doc_id", "score"], dtype=object)
 
     return docs.mapInPandas(rank, f"item long, {kinds}, score long")
 

@@ -63,7 +63,8 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 if len(held) >= HELD_WORDS:
                     yield pd.DataFrame({"word": list(held), "n": list(held.values())})
                     held.clear()
-        yield pd.DataFrame({"word": list(held), "n": pd.Series(list(held.values()), dtype="int64")})
+        if held:
+            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
     rows = docs.where(F.col(f"`{text}`").isNotNull()).select(
         F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).alias("doc_id"), F.col(f"`{text}`").alias("text"))
