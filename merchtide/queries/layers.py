@@ -24,7 +24,7 @@ from merchtide.plans import gold, layers, silver
 from merchtide.plans.layers import Lake
 from merchtide.queries import query
 from merchtide.queries.twin import sql
-from merchtide.sources import files, storage, tables
+from merchtide.sources import bronze, files, storage, tables
 from merchtide.sources.audit import audited
 from merchtide.streaming import ingest
 
@@ -158,6 +158,40 @@ def _(d):
     return rows.select("sku", F.col(ingest.CORRUPT).isNotNull().alias("kept_whole"))
 
 
+@query("src06_schema_tracking", sql(
+    "SELECT sku, product_name, status, restock_units, CASE WHEN part = 2 THEN 'B' || restock_units END "
+    "AS bay, part FROM (SELECT *, CAST(substr(sku, 2) AS BIGINT) % 3 AS part FROM rst)"))
+def _(d):
+    lake = new_lake(d)
+    spec = model.RESTOCK
+    columns = list(spec.columns)
+    lots = d.restock.withColumn("part", F.substring("sku", 2, 20).cast("long") % 3)
+    for part, names in enumerate((columns, columns[::-1], [*columns[2:], "bay", *columns[:2]])):
+        # The same columns, then in another order, then with one more among them.
+        lot = lots.where(F.col("part") == part).withColumn("bay", F.concat(F.lit("B"), "restock_units"))
+        drop_csv(lot.select(*names), f"{lake.layer('raw')}/{spec.source}")
+        layers.ingest_incremental(d.spark, lake, [spec], run_id=f"drop-{part}")
+    rows = bronze.read_bronze(
+        d.spark, lake.table("bronze", f"raw_{spec.source}"), spec,
+        ingest.schema_path(lake.layer("checkpoints"), spec), typed=True)
+    return rows.select("sku", "product_name", "status", "restock_units", "bay").withColumn(
+        "part", F.substring("sku", 2, 20).cast("long") % 3)
+
+
+@query("src06_schema_record", sql(
+    "SELECT * FROM (VALUES (0, 'sku', 'string'), (1, 'product_name', 'string'), "
+    "(2, 'scheduled_restock_timestamp', 'timestamp'), (3, 'restock_units', (SELECT CASE WHEN "
+    "count(restock_units) > 0 THEN 'bigint' END FROM rst)), (4, 'status', 'string')) "
+    "AS t(position, column_name, type)"))
+def _(d):
+    lake = dropped_lake(d, [model.RESTOCK])
+    layers.ingest_incremental(d.spark, lake, [model.RESTOCK], run_id="run-1")
+    path = ingest.schema_path(lake.layer("checkpoints"), model.RESTOCK)
+    rows = d.spark.read.schema(bronze.RECORD_DDL).parquet(path)
+    newest = rows.where(F.col("version") == rows.agg(F.max("version")).scalar())
+    return newest.select("position", F.col("column").alias("column_name"), "type")
+
+
 @query("src07_table_scan", sql("SELECT hour_key, sku, orders FROM mkt"))
 def _(d):
     path = storage.scratch_path(d.spark, "marketing")
@@ -430,6 +464,15 @@ def _(d):
     return tables.read_table(d.spark, log).select("task_name", "status", "row_count", "message")
 
 
+@query("aud02_stream_audit", sql(
+    "SELECT 'lot-F' AS run_id, 'SUCCESS' AS status, count(*) FILTER (WHERE line_status = 'F') AS row_count FROM tx "
+    "UNION ALL SELECT 'lot-O', 'SUCCESS', count(*) FILTER (WHERE line_status = 'O') FROM tx "
+    "UNION ALL SELECT 'nothing-new', 'SUCCESS', 0"))
+def _(d):
+    log = streamed_bronze(d).table("ops", "etl_audit_log")
+    return tables.read_table(d.spark, log).select("run_id", "status", "row_count")
+
+
 # --- streaming ------------------------------------------------------------
 
 
@@ -558,6 +601,23 @@ def _(d):
     return content(SILVER_SPECS, "target", lambda spec: layers.read_silver(d.spark, lake, spec))
 
 
+@query("flow03_silver_increment", sql(
+    "SELECT table_name, run_id, row_count FROM (SELECT 'fact_order_transactions' AS table_name, run_id, row_count "
+    "FROM (SELECT 'lot-F' AS run_id, count(DISTINCT order_id) AS row_count FROM tx WHERE line_status = 'F' "
+    "UNION ALL SELECT 'lot-O', count(DISTINCT order_id) FROM tx WHERE line_status = 'O' UNION ALL SELECT 'nothing-new', 0))"))
+def _(d):
+    lake = new_lake(d)
+    spec = model.TRANSACTIONS
+    for run_id in ("lot-F", "lot-O", "nothing-new"):
+        if run_id != "nothing-new":
+            lot = d.transactions.filter(F.col("line_status") == run_id[-1]).select(*spec.columns)
+            drop_csv(lot, f"{lake.layer('raw')}/{spec.source}")
+        layers.ingest_incremental(d.spark, lake, [spec], run_id=run_id)
+        layers.build_silver(d.spark, lake, [spec], run_id=run_id)
+    log = tables.read_table(d.spark, lake.table("ops", "etl_audit_log")).where("task_name = 'build_silver'")
+    return log.select(F.lit(spec.target).alias("table_name"), "run_id", "row_count")
+
+
 @query("flow12_lake_to_gold", sql(
     "SELECT priority_rank, sku, decision, action_type, stock_cover_hrs FROM rankd"))
 def _(d):

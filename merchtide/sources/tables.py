@@ -65,18 +65,15 @@ def read_table(
     return (reader.schema(schema) if schema is not None else reader).load(here)
 
 
-def replace_table(df: DataFrame, path: str, keep: int = 2, token: str | None = None) -> int:
+def replace_table(df: DataFrame, path: str, keep: int = 2) -> int:
     """Write the next version of a snapshot table and return its row count.
 
-    The rows are counted while they are written. ``token`` makes a repeated
-    write of the same batch a no-op.
+    The rows are counted while they are written.
     """
     spark = df.sparkSession
     found = versions(spark, path)
-    if token and found and found[-1].endswith(f"-{token}"):
-        return read_table(spark, path).count()
-    number = int(found[-1][1:].split("-")[0]) + 1 if found else 1
-    version = f"v{number:08d}" + (f"-{token}" if token else "")
+    number = int(found[-1][1:]) + 1 if found else 1
+    version = f"v{number:08d}"
     counter = Observation()
     counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
     counted.write.format(FORMAT).mode("overwrite").save(f"{path}/{version}")
@@ -117,17 +114,19 @@ def upsert_table(
     path: str,
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
-    token: str | None = None,
 ) -> int:
-    """Update matching rows, insert the others, return the number of source rows."""
+    """Update matching rows, insert the others, return the number of source rows.
+
+    By key, so applying the same rows again changes nothing.
+    """
     spark = source.sparkSession
     source = storage.stage(source, "upsert-source")
     if partition_by:
         _upsert_partitions(source, path, list(keys), list(partition_by))
     elif table_exists(spark, path):
-        replace_table(upsert(read_table(spark, path), source, keys), path, token=token)
+        replace_table(upsert(read_table(spark, path), source, keys), path)
     else:
-        replace_table(source, path, token=token)
+        replace_table(source, path)
     return source.count()
 
 

@@ -12,7 +12,7 @@ queries.load()
 
 # One query per operator family; the long builds run with ALL_TWINS.
 USUAL = """
-src01_csv_scan src03_append_new_column src08_json_metadata src10_upsert_snapshot
+src01_csv_scan src03_append_new_column src06_schema_record src08_json_metadata src10_upsert_snapshot
 src16_partitioned_layout prj01_normalize_names prj02_cast_to_schema prj04_latest_snapshot
 prj07_decision_ladder prj11_channel_shift prj17_top_by_rank ded01_newest_per_key
 ded02_first_occurrences jn01_kpi_stock_left jn02_marketing_stock_left jn05_upsert_rows
