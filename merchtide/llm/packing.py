@@ -32,7 +32,7 @@ FRACTION = 16
 # The sources with most characters have a queue each; all that are left share the last queue.
 MOST_QUEUES = 1024
 # Words with known ids a task remembers before it starts anew, and tokens it cuts at once.
-MOST_WORDS, TOKENS_AT_ONCE = 400_000, 1 << 20
+MOST_WORDS, TOKENS_AT_ONCE = 600_000, 1 << 20
 # Texts of these characters only are cut at white space and remembered by lower-case word; others
 # go to the tokenizer whole. Below U+0130 lower case and composition work character by character.
 UNUSUAL = re.compile("[\x1c-\x1fİ-\U0010ffff]")
@@ -62,14 +62,22 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(found, dtype=self.kind).tobytes()
 
+    def _merged(self, part: str) -> bytes:
+        spelled = part if part.isascii() and part.isalpha() else part.translate(self.spelled)
+        found = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return struct.pack(f"<{len(found)}{self.format}", *found)
+
     def _word(self, word: str) -> bytes:
         if "<|" in word or "\0" in word:  # may be a special token
             return self._whole(word)
-        merged = self.tokenizer.model.tokenize
-        parts = (word,) if word.isalpha() else PARTS.findall(word)
-        found = [t.id for part in parts for t in merged(
-            part if part.isascii() and part.isalpha() else part.translate(self.spelled))]
-        return struct.pack(f"<{len(found)}{self.format}", *found)
+        if word.isalpha():
+            return self._merged(word)
+        parts = PARTS.findall(word)
+        for part in parts:
+            # A part of letters is a word of its own elsewhere.
+            if part not in self.known:
+                self.known[part] = self._merged(part)
+        return b"".join([self.known[part] for part in parts])
 
     def encode(self, text: str) -> bytes:
         if not self.by_word or UNUSUAL.search(text):
@@ -79,7 +87,8 @@ class Encoder:
         if len(known) + len(words) > MOST_WORDS:
             known.clear()
         for word in set(words).difference(known):
-            known[word] = self._word(word)
+            if word not in known:
+                known[word] = self._word(word)
         return b"".join([known[word] for word in words])
 
 
