@@ -48,8 +48,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixed),
 ]
 
-# The language model and the fingerprints have no SQL form; a test compares the stages with
-# brute force instead.
+# The language model and the fingerprints have no SQL form. The operators of the stages are tested
+# one by one; no test runs the stages together.
 ORACLE_SQL = None
 
 
