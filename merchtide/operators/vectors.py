@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Sequence
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,8 +17,9 @@ from merchtide.functions import text as tx
 from merchtide.sources.storage import stage
 
 # Bytes of a block of the reference set and of a lot of events; one of each meets in a task.
-BLOCK_BYTES = 1 << 20
-LOT_BYTES = 1 << 25
+# Each event travels once per block and each entry once per lot: least in all when both are alike.
+BLOCK_BYTES = 1 << 24
+LOT_BYTES = 1 << 24
 
 
 def slot_sums(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFrame:
@@ -103,18 +106,23 @@ def with_mentions(
     """Add ``matches``: every reference row with a word that occurs in the text, in order.
 
     ``key`` and ``position`` as for ``with_nearest``; ``words`` is a list of the reference
-    row. The text is lower-cased, a NULL text mentions nothing.
+    row, an empty word stands in every text. The text is lower-cased, a NULL text mentions
+    nothing. Texts meet distinct words, so what a task holds grows with the text it reads and
+    not with the entries that share a word; those are joined to the words found.
     """
     kb = stage(kb.select(position, *payload, words.alias("_words")), "reference")
     events = stage(events, "events")
     asked = events.where(F.col(text).isNotNull()).select(
         F.col(key).alias("key"), F.lower(text).alias("text"))
-    known = kb.select(F.col(position).alias("position"), F.explode("_words").alias("word")).where("word IS NOT NULL")
-    told = _meet(asked, known, F.length("word") + 16, _finder, "", block_bytes)
-    entry = kb.select(
-        F.col(position).alias("position"), F.struct(F.struct(position, *payload).alias("entry")).alias("match"))
-    ordered = told.join(entry, "position").select("key", F.struct("position", "match").alias("m"))
-    return _listed(events, key, ordered)
+    entries = kb.select(
+        F.struct(F.col(position).alias("position"),
+                 F.struct(F.struct(position, *payload).alias("entry")).alias("match")).alias("m"),
+        F.explode("_words").alias("word")).where("word IS NOT NULL")
+    known = entries.select(F.col("word").alias("position")).distinct()
+    told = _meet(asked, known, F.octet_length("position") + 16, _finder, "", block_bytes)
+    named = told.withColumnRenamed("position", "word").join(entries, "word").select("key", "m")
+    # Two words of one entry tell of it once.
+    return _listed(events, key, named, F.collect_set)
 
 
 def _meet(asked: DataFrame, known: DataFrame, weight: Column, run: Callable, added: str,
@@ -124,12 +132,14 @@ def _meet(asked: DataFrame, known: DataFrame, weight: Column, run: Callable, add
     Both are bounded in bytes, so a group fits a task at any size, and a block travels once
     per lot and not per row. ``run`` turns the two into (key, position) rows.
     """
-    def parts(rows: DataFrame, size: Column, most: int) -> int:
-        total = rows.agg(F.sum(size.cast("long"))).first()[0] or 0
-        return max(1, -(-total // most))
-
     wide = F.octet_length("text") if "text" in asked.columns else F.size("vector") * 8
-    blocks, lots = parts(known, weight, block_bytes), parts(asked, wide + 32, LOT_BYTES)
+    sizes = asked.select(F.lit("lots").alias("side"), (wide + 32).cast("long").alias("n")).unionByName(
+        known.select(F.lit("blocks").alias("side"), weight.cast("long").alias("n")))
+    total = {r.side: r.n for r in sizes.groupBy("side").agg(F.sum("n").alias("n")).collect()}
+    blocks = max(1, -(-total.get("blocks", 0) // block_bytes))
+    # A small input is dealt over all cores.
+    cores = asked.sparkSession.sparkContext.defaultParallelism
+    lots = max(1, -(-total.get("lots", 0) // LOT_BYTES), -(-cores // blocks))
     left = asked.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(lots)).cast("int")).withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = known.withColumn("_block", F.pmod(F.xxhash64("position"), F.lit(blocks)).cast("int")).withColumn(
@@ -143,9 +153,10 @@ def _meet(asked: DataFrame, known: DataFrame, weight: Column, run: Callable, add
     return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(run, schema)
 
 
-def _listed(events: DataFrame, key: str, found: DataFrame) -> DataFrame:
+def _listed(events: DataFrame, key: str, found: DataFrame,
+            gather: Callable[[str], Column] = F.collect_list) -> DataFrame:
     """Add ``matches`` from ``found(key, m)``, in the order of ``m``; none is an empty list."""
-    lists = found.groupBy("key").agg(F.sort_array(F.collect_list("m")).alias("_m")).select(
+    lists = found.groupBy("key").agg(F.sort_array(gather("m")).alias("_m")).select(
         F.col("key").alias("_key"), F.transform("_m", lambda m: m["match"]).alias("matches"))
     none = F.array().cast(lists.schema["matches"].dataType)
     return events.join(lists, F.col(key) == F.col("_key"), "left").select(
@@ -170,6 +181,17 @@ def _scorer(top: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         table[:, -1] = 0.0  # what no entry has
         return table[:, of_entry]
 
+    def best(total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # Only what reaches the least score that can stay is sorted; not a number comes last.
+        rank = np.where(np.isnan(total), -np.inf, total)
+        few = min(top, rank.shape[1])
+        least = np.partition(rank, -few, axis=1)[:, -few, None]
+        row, entry = np.nonzero(rank >= least)
+        order = np.lexsort((entry, -rank[row, entry], row))
+        row, entry = row[order], entry[order]
+        stays = np.arange(len(row)) - np.searchsorted(row, row) < top
+        return row[stays], entry[stays]
+
     def run(asked: pa.Table, known: pa.Table) -> pa.Table:
         found = []
         if asked.num_rows and known.num_rows:
@@ -189,11 +211,11 @@ def _scorer(top: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 if len(terms):
                     total += points(some, of_entry, terms)
                 total = np.rint(total * scale) / scale
-                order = np.argsort(-total, axis=1, kind="stable")[:, :top]
+                row, entry = best(total)
                 found.append(pa.table({
-                    "key": some["key"].take(pa.array(np.repeat(np.arange(len(left)), order.shape[1]))),
-                    "position": known["position"].take(pa.array(order.ravel())),
-                    "score": np.take_along_axis(total, order, axis=1).ravel(),
+                    "key": some["key"].take(pa.array(row)),
+                    "position": known["position"].take(pa.array(entry)),
+                    "score": total[row, entry],
                 }))
         if found:
             return pa.concat_tables(found)
@@ -205,19 +227,24 @@ def _scorer(top: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 
 def _finder(asked: pa.Table, known: pa.Table) -> pa.Table:
-    """(key, position) of each event whose text holds a word of the block's entry."""
-    texts = asked["text"].combine_chunks()
-    entries = known["position"].combine_chunks()
-    words = known["word"].combine_chunks()
-    pairs = [np.empty(0, np.int64)]
-    if len(texts) and len(entries):
-        first = pc.index_in(entries, value_set=pc.unique(entries)).to_numpy()
-        entries = pc.unique(entries)
-        distinct = pc.unique(words)
-        code = pc.index_in(words, value_set=distinct).to_numpy()
-        for n, word in enumerate(distinct.to_pylist()):
-            rows = np.flatnonzero(pc.match_substring(texts, word).to_numpy(zero_copy_only=False))
-            pairs.append((rows[:, None] * len(entries) + first[code == n]).ravel())
-    pairs = np.unique(np.concatenate(pairs))
-    row, entry = np.divmod(pairs, max(1, len(entries)))
-    return pa.table({"key": asked["key"].take(pa.array(row)), "position": entries.take(pa.array(entry))})
+    """(key, position) of each event whose text holds the word ``position``.
+
+    All words of the block are found in one pass over each text; an event gives a row per
+    distinct word in it, so the result is bounded by the texts of the lot.
+    """
+    words = known["position"].to_pylist()
+    anywhere = [n for n, word in enumerate(words) if not word]
+    automaton = ahocorasick.Automaton()
+    for n, word in enumerate(words):
+        if word:
+            automaton.add_word(word, n)
+    if len(automaton):
+        automaton.make_automaton()
+    row, hit = array("q"), array("q")
+    for n, text in enumerate(asked["text"]):
+        met = {w for _, w in automaton.iter(text.as_py())} if len(automaton) else set()
+        met.update(anywhere)
+        row.extend([n] * len(met))
+        hit.extend(met)
+    rows, hits = (pa.array(np.frombuffer(a, np.int64) if a else np.empty(0, np.int64)) for a in (row, hit))
+    return pa.table({"key": asked["key"].take(rows), "position": known["position"].take(hits)})

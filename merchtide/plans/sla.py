@@ -486,18 +486,35 @@ def summary_text() -> Column:
     )
 
 
+def rca_response(matches: Column) -> Column:
+    """The answer to a prediction as one nested record: causes, checks and next steps."""
+    return F.struct(
+        F.lit("SLA_MISMATCH_RCA_RESPONSE").alias("event_type"),
+        "batch_id", "risk_level", "risk_score", "estimated_minutes_late",
+        summary_text().alias("summary"),
+        rca_items(matches).alias("rca_items"),
+        next_best_actions(matches).alias("next_best_actions"),
+    )
+
+
 def recommendations(found: DataFrame, kb: DataFrame, top: int = 3) -> DataFrame:
-    """Rows of the recommendation table for the predictions that call for one."""
+    """Rows of the recommendation table for the predictions that call for one.
+
+    ``response`` is the nested record that is published; the other columns repeat its
+    parts flat, for those who read the table.
+    """
     matched = with_knowledge(triggered(found), kb, top)
-    return matched.select(
+    answered = matched.withColumn("response", rca_response(F.col("matches")))
+    return answered.select(
         F.md5(F.concat_ws("|", F.lit("rca"), "batch_id", ck.iso(F.col("prediction_time"))))
         .alias("recommendation_id"),
         "batch_id",
         F.col("prediction_time").alias("event_time"),
         "risk_level", "risk_score", "will_miss_sla",
-        summary_text().alias("rca_summary"),
-        F.to_json(rca_items(F.col("matches"))).alias("rca_items_json"),
-        next_best_actions(F.col("matches")).alias("next_best_actions"),
+        F.col("response.summary").alias("rca_summary"),
+        F.to_json("response.rca_items").alias("rca_items_json"),
+        "response.next_best_actions",
+        "response",
     )
 
 

@@ -6,7 +6,8 @@ import math
 from pyspark.sql import functions as F
 
 from merchtide.functions import text as tx
-from merchtide.operators.vectors import vectorize, with_nearest
+from merchtide.operators import vectors
+from merchtide.operators.vectors import vectorize, with_mentions, with_nearest
 from merchtide.plans import sla
 
 
@@ -109,3 +110,40 @@ def test_mentions_of_odd_keys(spark):
         "e1": "[a__b]: x", "e2": none, "e3": "[a__b]: x\n[É_z]: z"}
     empty = sla.with_context(events, "id", "t", kb.limit(0), "name", "fix", "pos").collect()
     assert [r.context for r in empty] == [none] * 3
+
+
+def test_mentions_equal_a_plain_search(spark, data):
+    """Whole documents against words that contain each other, one of them nearly everywhere."""
+    docs = data.raw("documents").select("doc_id", "text")
+    texts = {r.doc_id: r.text and r.text.lower() for r in docs.collect()}
+    some = sorted({w for t in list(texts.values())[:40] for w in (t or "").split()})[::7]
+    named = [(i, [w, w[:3], w[1:]]) for i, w in enumerate(some)] + [(-1, ["a", "e", None]), (-2, None), (-3, [])]
+    kb = spark.createDataFrame(named, "pos int, words array<string>")
+    expected = {
+        k: [] if t is None else sorted(p for p, ws in named if any(w is not None and w in t for w in ws or []))
+        for k, t in texts.items()}
+    for block_bytes in (1 << 24, 1 << 10):
+        rows = with_mentions(docs, "doc_id", "text", kb, "pos", F.col("words"), block_bytes=block_bytes)
+        assert {r.doc_id: [m.entry.pos for m in r.matches] for r in rows.collect()} == expected
+
+
+def test_a_common_word_leaves_a_task_once_per_text():
+    """Every entry has the same word: the task gives a row per text, not per text and entry."""
+    import pyarrow as pa
+
+    asked = pa.table({"key": list(range(1000)), "text": ["the one of the many"] * 1000})
+    got = vectors._finder(asked, pa.table({"position": ["the", "man", "absent"]}))
+    assert got.num_rows == 2000
+
+
+def test_ties_keep_the_reference_order(spark):
+    events = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(50)], "id int, v array<double>")
+    kb = spark.createDataFrame(
+        [(i, [float(i % 2), float(i % 5 == 0)]) for i in range(40)], "pos int, w array<double>")
+    vecs = {r.pos: r.w for r in kb.collect()}
+    for block_bytes in (1 << 24, 100):
+        for top in (1, 3, 60):
+            rows = with_nearest(events, "id", "v", kb, "pos", "w", top=top, block_bytes=block_bytes).collect()
+            for r in rows:
+                scored = sorted((-(r.v[0] * w[0] + r.v[1] * w[1]), p) for p, w in vecs.items())[:top]
+                assert [(-m.score, m.entry.pos) for m in r.matches] == scored
