@@ -172,35 +172,95 @@ def _(d):
     return found(d).groupBy("risk_level").agg(F.count("*").alias("batches"))
 
 
+def fixed(value: Column, digits: int) -> Column:
+    """A number in whole units of its last digit, as comparable text."""
+    return F.rint(value * 10.0**digits).cast("long").cast("string")
+
+
+def fixed_twin(value: str, digits: int) -> str:
+    return f"CAST(CAST(round_even({value} * 1e{digits}, 0) AS BIGINT) AS VARCHAR)"
+
+
+def late_steps(steps: Column) -> Column:
+    """The degraded processes with all they report, a line each."""
+    return F.array_join(
+        F.transform(steps, lambda s: F.concat_ws(
+            ";", s["process"], s["status"], fixed(s["delay_min"], 6), s["resource"], s["message"])),
+        "\n")
+
+
 @query("sla07_prediction_rows", sql(
     "SELECT md5(concat_ws('|', batch_id, strftime(prediction_time, '%Y-%m-%dT%H:%M:%S'))) "
     "AS prediction_id, batch_id, prediction_time, business_domain, criticality, risk_level, "
     "risk_score, will_miss_sla, sla_due_time, data_available_time, actual_start_time, "
     "eta AS estimated_completion_time, estimated_minutes_late, "
     f"{rnd('since_data', 2)} AS elapsed_since_data_available_min, "
-    f"{rnd('since_start', 2)} AS elapsed_since_start_min, resource_delay_min FROM prd"))
+    f"{rnd('since_start', 2)} AS elapsed_since_start_min, "
+    f"{rnd('avg_duration_min', 6)} AS historical_avg_duration_min, "
+    f"{rnd('p95_duration_min', 6)} AS historical_p95_duration_min, resource_delay_min, "
+    "late_steps AS degraded_processes, 'SLA_MISMATCH_PREDICTED' AS published_as FROM prd"))
 def _(d):
-    return sla.prediction_records(found(d)).select(
+    rows = sla.prediction_records(found(d))
+    steps = F.from_json("degraded_processes_json", sla.DEGRADED_TYPE)
+    return rows.select(
         "prediction_id", "batch_id", "prediction_time", "business_domain", "criticality",
         "risk_level", "risk_score", "will_miss_sla", "sla_due_time", "data_available_time",
         "actual_start_time", "estimated_completion_time", "estimated_minutes_late",
-        "elapsed_since_data_available_min", "elapsed_since_start_min", "resource_delay_min")
+        "elapsed_since_data_available_min", "elapsed_since_start_min",
+        rounded(F.col("historical_avg_duration_min"), 6).alias("historical_avg_duration_min"),
+        rounded(F.col("historical_p95_duration_min"), 6).alias("historical_p95_duration_min"),
+        "resource_delay_min", late_steps(steps).alias("degraded_processes"),
+        F.get_json_object("event_payload_json", "$.event_type").alias("published_as"))
+
+
+PAYLOAD_SHAPE = (
+    "event_type string, event_time string, batch_id string, business_domain string, criticality string, "
+    "risk_level string, risk_score int, will_miss_sla boolean, sla_due_time string, "
+    "estimated_completion_time string, estimated_minutes_late double, "
+    "data_availability struct<data_available_time:string,elapsed_since_data_available_min:double>, "
+    "runtime_stats struct<actual_start_time:string,elapsed_since_start_min:double,"
+    "historical_avg_duration_min:double,historical_p95_duration_min:double,estimated_total_runtime_min:double>, "
+    "historical_stats struct<avg_duration_min:double,p90_duration_min:double,p95_duration_min:double,"
+    "historical_success_rate_pct:double,historical_sla_miss_count_30d:long>, "
+    f"processes_involved array<string>, degraded_processes {sla.DEGRADED_TYPE}"
+)
+
+
+def iso_twin(time: str) -> str:
+    return f"strftime({time}, '%Y-%m-%dT%H:%M:%S')"
 
 
 @query("sla08_event_payload", sql(
-    "SELECT batch_id, 'SLA_MISMATCH_PREDICTED' AS event_type, risk_level, risk_score, "
-    "strftime(sla_due_time, '%Y-%m-%dT%H:%M:%S') AS due, degraded FROM prd"))
+    "SELECT batch_id, 'SLA_MISMATCH_PREDICTED' AS event_type, "
+    f"{iso_twin('prediction_time')} AS event_time, business_domain, criticality, risk_level, risk_score, "
+    f"will_miss_sla, {iso_twin('sla_due_time')} AS due, left({iso_twin('eta')}, 19) AS completion, "
+    f"{fixed_twin('estimated_minutes_late', 2)} AS late, {iso_twin('data_available_time')} AS data_at, "
+    f"{fixed_twin(rnd('since_data', 2), 2)} AS since_data, {iso_twin('actual_start_time')} AS started, "
+    f"{fixed_twin(rnd('since_start', 2), 2)} AS since_start, {fixed_twin(rnd('total', 2), 2)} AS runtime, "
+    f"{fixed_twin('avg_duration_min', 6)} AS mean, {fixed_twin('p90_duration_min', 6)} AS p90, "
+    f"{fixed_twin('p95_duration_min', 6)} AS p95, {fixed_twin('historical_success_rate_pct', 6)} AS success, "
+    "CAST(historical_sla_miss_count_30d AS BIGINT) AS misses, array_to_string(processes, ',') AS involved, "
+    "late_steps AS degraded FROM prd"))
 def _(d):
-    shape = (
-        "event_type string, batch_id string, risk_level string, risk_score int, "
-        "sla_due_time string, degraded_processes array<struct<process:string>>"
-    )
-    read = F.from_json(sla.payload(), shape)
-    opened = found(d).select(read.alias("e"))
+    c = F.col
+    opened = found(d).select(F.from_json(sla.payload(), PAYLOAD_SHAPE).alias("e"))
     return opened.select(
-        "e.batch_id", "e.event_type", "e.risk_level", "e.risk_score",
-        F.col("e.sla_due_time").alias("due"),
-        F.array_join(F.col("e.degraded_processes.process"), ",").alias("degraded"))
+        "e.batch_id", "e.event_type", "e.event_time", "e.business_domain", "e.criticality",
+        "e.risk_level", "e.risk_score", "e.will_miss_sla", c("e.sla_due_time").alias("due"),
+        F.left(c("e.estimated_completion_time"), F.lit(19)).alias("completion"),
+        fixed(c("e.estimated_minutes_late"), 2).alias("late"),
+        c("e.data_availability.data_available_time").alias("data_at"),
+        fixed(c("e.data_availability.elapsed_since_data_available_min"), 2).alias("since_data"),
+        c("e.runtime_stats.actual_start_time").alias("started"),
+        fixed(c("e.runtime_stats.elapsed_since_start_min"), 2).alias("since_start"),
+        fixed(c("e.runtime_stats.estimated_total_runtime_min"), 2).alias("runtime"),
+        fixed(c("e.historical_stats.avg_duration_min"), 6).alias("mean"),
+        fixed(c("e.historical_stats.p90_duration_min"), 6).alias("p90"),
+        fixed(c("e.historical_stats.p95_duration_min"), 6).alias("p95"),
+        fixed(c("e.historical_stats.historical_success_rate_pct"), 6).alias("success"),
+        c("e.historical_stats.historical_sla_miss_count_30d").alias("misses"),
+        F.array_join("e.processes_involved", ",").alias("involved"),
+        late_steps(c("e.degraded_processes")).alias("degraded"))
 
 
 @query("prj16_trigger", sql("SELECT batch_id, risk_level FROM trg"))
@@ -333,12 +393,54 @@ def _(d):
         "batch_id", F.array_join(sla.next_best_actions(F.col("matches")), "|").alias("actions"))
 
 
+ITEMS_TWIN = (
+    "SELECT m.batch_id, string_agg(concat_ws(';', " + fixed_twin("m.score", 4) + ", k.kb_id, k.process, "
+    "k.resource, array_to_string(k.causes, '|'), array_to_string(k.mitigations, '|'), "
+    "array_to_string(k.checks, '|'), k.team), chr(10) ORDER BY place) AS items "
+    "FROM mtc m JOIN kb k ON m.kb_id = k.kb_id GROUP BY 1"
+)
+SUMMARY_TWIN = (
+    "concat('Batch ', batch_id, ' is predicted to miss SLA by ', CAST(estimated_minutes_late AS VARCHAR), "
+    "' minutes. Risk level is ', risk_level, '.')"
+)
+ITEM_TYPE = (
+    "array<struct<match_score:double,kb_id:string,process:string,resource:string,"
+    "likely_root_causes:array<string>,recommended_mitigations:array<string>,"
+    "resources_to_check:array<string>,escalation_team:string>>"
+)
+
+
+def item_lines(items: Column) -> Column:
+    """All that the items of an answer say, a line each."""
+    return F.array_join(
+        F.transform(items, lambda i: F.concat_ws(
+            ";", fixed(i["match_score"], 4), i["kb_id"], i["process"], i["resource"],
+            F.array_join(i["likely_root_causes"], "|"), F.array_join(i["recommended_mitigations"], "|"),
+            F.array_join(i["resources_to_check"], "|"), i["escalation_team"])),
+        "\n")
+
+
 @query("sla14_recommendation_rows", sql(
-    "SELECT batch_id, risk_level, risk_score, concat('Batch ', batch_id, ' is predicted to miss SLA by ', "
-    "CAST(estimated_minutes_late AS VARCHAR), ' minutes. Risk level is ', risk_level, '.') "
-    "AS rca_summary FROM trg"))
+    f"SELECT md5(concat_ws('|', 'rca', batch_id, {iso_twin('prediction_time')})) AS recommendation_id, "
+    "batch_id, prediction_time AS event_time, risk_level, risk_score, will_miss_sla, "
+    f"{SUMMARY_TWIN} AS rca_summary, items, actions "
+    f"FROM trg JOIN ({ITEMS_TWIN}) i USING (batch_id) JOIN ({ACTIONS_TWIN}) a USING (batch_id)"))
+def _(d):
+    return advice(d).select(
+        "recommendation_id", "batch_id", "event_time", "risk_level", "risk_score", "will_miss_sla",
+        "rca_summary", item_lines(F.from_json("rca_items_json", ITEM_TYPE)).alias("items"),
+        F.array_join("next_best_actions", "|").alias("actions"))
+
+
+@query("sla14_response_record", sql(
+    "SELECT 'SLA_MISMATCH_RCA_RESPONSE' AS event_type, batch_id, risk_level, risk_score, "
+    f"estimated_minutes_late, {SUMMARY_TWIN} AS summary, items, actions "
+    f"FROM trg JOIN ({ITEMS_TWIN}) i USING (batch_id) JOIN ({ACTIONS_TWIN}) a USING (batch_id)"))
 def _(d):
-    return advice(d).select("batch_id", "risk_level", "risk_score", "rca_summary")
+    return advice(d).select("response.*").select(
+        "event_type", "batch_id", "risk_level", "risk_score", "estimated_minutes_late", "summary",
+        item_lines(F.col("rca_items")).alias("items"),
+        F.array_join("next_best_actions", "|").alias("actions"))
 
 
 RUNBOOKS = [

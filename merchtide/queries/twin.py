@@ -105,6 +105,7 @@ KB_ROWS = ", ".join(
             text(" ".join([e.process, e.resource, *e.symptoms, *e.likely_root_causes,
                            *e.mitigations, *e.resources_to_check])),
             texts(e.mitigations), texts(e.likely_root_causes), text(e.escalation_team),
+            texts(e.resources_to_check),
         ]
     )
     + ")"
@@ -322,8 +323,10 @@ CTES: dict[str, str] = {
            "AS resource_delay_min, coalesce(string_agg(process, ',' ORDER BY pos) "
            "FILTER (WHERE status <> 'HEALTHY'), '') AS degraded, "
            "coalesce(string_agg(concat_ws(' ', process, resource, message), ' ' ORDER BY pos) "
-           "FILTER (WHERE status <> 'HEALTHY'), '') AS trouble FROM stph GROUP BY 1",
-    "tim": "SELECT w.*, d.resource_delay_min, d.degraded, d.trouble, "
+           "FILTER (WHERE status <> 'HEALTHY'), '') AS trouble, coalesce(string_agg(concat_ws(';', process, "
+           "status, CAST(CAST(round(delay_min * 1e6) AS BIGINT) AS VARCHAR), resource, message), chr(10) "
+           "ORDER BY pos) FILTER (WHERE status <> 'HEALTHY'), '') AS late_steps FROM stph GROUP BY 1",
+    "tim": "SELECT w.*, d.resource_delay_min, d.degraded, d.trouble, d.late_steps, "
            + minutes("data_available_time", "prediction_time") + " AS since_data, "
            + minutes("actual_start_time", "prediction_time") + " AS since_start, "
            + minutes("prediction_time", "sla_due_time") + " AS remaining "
@@ -343,7 +346,7 @@ CTES: dict[str, str] = {
            + rnd("late", 2) + " AS estimated_minutes_late FROM sc",
     "trg": "SELECT * FROM prd WHERE will_miss_sla OR risk_level IN ('HIGH', 'CRITICAL')",
     "kb": "SELECT * FROM (VALUES " + KB_ROWS + ") k(kb_id, process, resource, text_blob, mitigations, "
-          "causes, team)",
+          "causes, team, checks)",
     **vectors("kbv", "kb", "kb_id", "text_blob"),
     "qry": "SELECT batch_id, concat_ws(' ', batch_id, risk_level, array_to_string(processes, ' '), "
            "trouble) AS q FROM trg",
