@@ -61,6 +61,34 @@ def test_decontamination_tolerates_substitutions(spark):
     assert {r.doc_id for r in decontaminate.clean(docs, items).collect()} == {3, None}
 
 
+def test_seeds_see_short_overlaps_with_substitutions(spark):
+    for words, changed in ((10, 0), (11, 1), (12, 2), (13, 2), (14, 2), (15, 3), (16, 3), (17, 3), (18, 3), (20, 4)):
+        assert decontaminate.missed(decontaminate.SEEDS, words, changed) <= 0.01, (words, changed)
+    rng = np.random.default_rng(11)
+    items, docs, due = [], [], set()
+    for i in range(60):
+        words = [f"i{i}w{k}" for k in range(int(rng.integers(12, 21)))]
+        items.append((i, " ".join(words)))
+        bad = set(rng.choice(np.arange(1, len(words) - 1), len(words) // 6, replace=False).tolist())
+        text = [f"n{i}x{k}" if k in bad else w for k, w in enumerate(words)]
+        # Some texts begin in the middle of what goes around the item, some with the item itself.
+        docs.append((i, " ".join([f"a{k}" for k in range(i % 5)] + text + ["after"] * (i % 3))))
+        if len(words) - len(bad) >= decontaminate.LEAST_WORDS:
+            due.add((i, i, len(words) - len(bad), i % 5))
+    found = decontaminate.contaminations(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.n_same, r.first_word) for r in found.collect()} == due
+
+
+def test_an_item_may_begin_ahead_of_the_text(spark):
+    words = [f"w{k}" for k in range(30)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, " ".join(words[12:])), (2, " ".join(words[:15])), (3, " ".join(words[25:]))], "doc_id long, text string")
+    found = decontaminate.contaminations(docs, items).collect()
+    assert sorted((r.doc_id, r.n_same, r.first_word, r.last_word) for r in found) == [(1, 18, 0, 17), (2, 15, 0, 14)]
+
+
 def test_personal_data_spans(spark):
     texts = ["mail a.b@c.org_x@d.com now", "4111 1111 1111 1111", "1.2.3.4 300.1.1.1", "+1 (017) 555-7713", None, ""]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
