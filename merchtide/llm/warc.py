@@ -14,17 +14,25 @@ from merchtide.llm.common import prepared
 
 # The date of responses that carry none.
 NO_DATE = "1970-01-01T00:00:00Z"
-# Elements whose content is not text, elements that end a line, and references.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>"
+# Elements whose content is not text, elements that end a line, and references. What is
+# never closed hides the rest, as in a browser. No tag goes past the next ``<``. So each pattern
+# looks at a place a bounded number of times, however a page is made.
+HIDDEN = (
+    r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|"
+    r"<title\b.*?(?:</title\s*>|\z)")
 LINE_END = (
     r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|"
-    r"p|pre|section|table|tr|ul)(?:[\s/][^>]*)?>")
-TAG = r"</?[A-Za-z!][^>]*>"
+    r"p|pre|section|table|tr|ul)(?:[\s/][^<>]*)?>")
+TAG = r"</?[A-Za-z!][^<>]*>"
 REFERENCES = (
     ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-TITLE = r"(?is)<title[^>]*>(.*?)</title"
-LINK = r"""(?i)<a\s[^>]*?href="([^"]*)\""""
+    ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"), ("&ndash;", "–"),
+    ("&mdash;", "—"), ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
+    ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€"), ("&pound;", "£"), ("&times;", "×"), ("&deg;", "°"),
+    ("&amp;", "&"))
+TITLE = r"(?is)<title(?:\s[^<>]*)?>(.*?)(?:</title|\z)"
+# The target between double quotes, single quotes, or none.
+LINK = r"""(?i)<a\s(?:[^<>]*?\s)?href\s*=\s*("[^"<>]*"|[\x27][^\x27<>]*[\x27]|[^\s"\x27<>]+)"""
 
 
 def sha256_digest(text: Column) -> Column:
