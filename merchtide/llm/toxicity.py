@@ -8,6 +8,7 @@ sentence scores then say where the offence is.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -23,9 +24,10 @@ from merchtide.sources.storage import stage
 # order, and on this many of their most telling words.
 FIT_PER_CLASS = 3000
 VOCABULARY = 2000
-LEAST_DOCUMENTS = 5
-# A word counts as telling from this chi-squared on; chance alone stays below it for millions of words.
-LEAST_CHI_SQUARED = 30.0
+# A feature counts as telling when its likelihood ratio reaches this multiple of the logarithm of the
+# number of features. Chance alone brings about the root of their number there, at any size; the
+# penalty deals with these. (At 2 it would bring about one.)
+EVIDENCE = 1.0
 STEPS, RATE, PENALTY = 400, 0.1, 2e-4
 THRESHOLD = 0.3
 
@@ -114,7 +116,8 @@ def _fit_bags(bags: list[list[list[int]]], labels: np.ndarray, weight: np.ndarra
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-        toxic: str = "toxic", per_class: int = FIT_PER_CLASS, vocabulary: int = VOCABULARY) -> Model:
+        toxic: str = "toxic", per_class: int = FIT_PER_CLASS, vocabulary: int = VOCABULARY,
+        evidence: float = EVIDENCE) -> Model:
     """Fit on ``per_class`` documents of each label, chosen by a hash of the id.
 
     A document labelled twice counts as toxic if one label says so; null ids and labels
@@ -143,17 +146,26 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     texts = stage(texts, "labelled")
     counts = texts.select("label", F.explode(present("text")).alias("word")).groupBy("word").agg(
         F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("pos"), F.count("*").alias("n"),
-    ).where(F.col("n") >= LEAST_DOCUMENTS)
+    )
     drawn = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
     pos, neg = drawn.get(1, 0), drawn.get(0, 0)
     if not pos or not neg:
         return Model({}, 20.0 if pos else -20.0)
-    # Chi-squared of the word's presence against the label.
+    counts = stage(counts, "features")
+    # The likelihood ratio of the feature's presence against the label; unlike chi-squared it does
+    # not overrate a feature of one document.
     share = pos / (pos + neg)
-    spread = F.col("n") * share * (1 - share) * (1 - F.col("n") / (pos + neg + 1.0))
-    chi = (F.col("pos") - F.col("n") * share) ** 2 / spread
-    top = counts.withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI_SQUARED)
-    words = [r["word"] for r in top.orderBy(F.desc("chi"), "word").limit(vocabulary).collect()]
+
+    def part(seen: Column, due: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / due)).otherwise(0.0)
+
+    n, with_pos = F.col("n").cast("double"), F.col("pos").cast("double")
+    rest = pos + neg - n
+    ratio = 2 * (part(with_pos, n * share) + part(n - with_pos, n * (1 - share))
+                 + part(pos - with_pos, rest * share) + part(neg - n + with_pos, rest * (1 - share)))
+    least = evidence * math.log(max(counts.count(), 1))
+    top = counts.withColumn("ratio", ratio).where(F.col("ratio") >= least)
+    words = [r["word"] for r in top.orderBy(F.desc("ratio"), "word").limit(vocabulary).collect()]
     number = {w: i for i, w in enumerate(words)}
 
     @F.pandas_udf("array<array<int>>")
