@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchtide.llm.common import first_of_each, prepared
+from merchtide.sources.storage import stage
 
 UNKNOWN = "und"
 # Hashed n-gram dimensions; n-grams are 1 to 3 characters of letters and word ends.
@@ -24,6 +25,8 @@ ROUNDS = 15
 # A text is rejected when its similarity is below this share of the least similarity that a
 # fitted text of the language has.
 REJECT_FACTOR = 0.5
+# So many picks, a short name and a hash each, are sent to all executors.
+BROADCAST_PICKS = 1 << 18
 # Characters turned into n-grams at once, so that a very long text needs bounded memory.
 CHARACTERS_AT_ONCE = 1 << 20
 
@@ -42,22 +45,26 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
     counts = np.zeros(DIMENSIONS)
     seen = False
     text = text or ""
+    end = np.zeros(1, np.uint32)
+    # The last characters of a piece go ahead of the next, so that no n-gram is cut.
+    carried = end[:0]
     for at in range(0, len(text), CHARACTERS_AT_ONCE):
         piece = text[at:at + CHARACTERS_AT_ONCE].lower()
         points = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _letters()[points]
-        if not letter.any():
-            continue
-        seen = True
-        line = np.zeros(len(points) + 2, np.uint32)
-        line[1:-1] = np.where(letter, points, 0)
+        seen |= bool(letter.any())
+        last = at + CHARACTERS_AT_ONCE >= len(text)
+        line = np.concatenate((carried if at else end, np.where(letter, points, 0).astype(np.uint32), end if last else end[:0]))
         line = line[np.concatenate(([True], (line[1:] > 0) | (line[:-1] > 0)))]
         for n in NGRAMS:
-            code = np.full(max(0, len(line) - n + 1), n, np.uint32)
+            # Those that end among the carried characters are counted.
+            grams = line[max(0, len(carried) - n + 1):]
+            code = np.full(max(0, len(grams) - n + 1), n, np.uint32)
             for k in range(n):
-                code = (code ^ line[k:len(line) - n + 1 + k]) * np.uint32(2654435761)
+                code = (code ^ grams[k:k + len(code)]) * np.uint32(2654435761)
                 code ^= code >> np.uint32(15)
             counts += np.bincount(code & np.uint32(DIMENSIONS - 1), minlength=DIMENSIONS)
+        carried = line[-(max(NGRAMS) - 1):]
     return counts if seen else None
 
 
@@ -117,15 +124,18 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     """Fit on ``per_language`` texts of each non-null language, chosen by a hash of id and text.
 
     The tasks turn the chosen texts into n-gram counts, so the driver gets a bounded number
-    of bounded vectors. Texts without a letter teach nothing. No texts at all give a model
+    of bounded vectors a language, 20 MB for each; the number of languages is taken to be that of
+    human ones. Texts without a letter teach nothing. No texts at all give a model
     that knows no language.
     """
     prepared(docs.sparkSession)
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("h"))
     # Only hashes are ranked; the texts are fetched for the few that were chosen.
-    picked = first_of_each(known.select("lang", "h").distinct(), "lang", "h", per_language)
-    chosen = known.join(picked, ["lang", "h"]).groupBy("lang", "h").agg(F.max("text").alias("text"))
+    picked = stage(first_of_each(known.select("lang", "h").distinct(), "lang", "h", per_language), "picked")
+    # Few picks go to the texts; with very many languages both sides are shuffled.
+    few = picked.count() <= BROADCAST_PICKS
+    chosen = known.join(F.broadcast(picked) if few else picked, ["lang", "h"]).groupBy("lang", "h").agg(F.max("text").alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
