@@ -10,10 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchtide.llm.common import blocks, cut, let
+
 PART = "struct<type:string,text:string,ref:string,units:int>"
 # Tokens one unit of a part expands to: an image tile, a second of audio, a page.
 TOKENS_PER_UNIT = {"image": 256, "audio": 25, "document": 512}
 TURN_END = "</turn>\n"
+PLACEHOLDER = r"^<(.*) ([0-9]+\.[0-9]+)/>$"
 
 
 def text_part(text: Column) -> Column:
@@ -99,11 +102,56 @@ def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "tu
         F.aggregate(attachments, F.lit(0).cast("long"), lambda s, a: s + a["tokens"]).alias("expanded_tokens"))
 
 
-def read_back(formatted: Column) -> Column:
-    """The turns of a formatted conversation as ``array<struct<role, text>>``, escapes undone."""
+def _pieces(body: Column) -> Column:
+    """Runs of escaped text and placeholders of a turn, in order: only placeholders have a ``<``."""
+    return F.filter(F.regexp_extract_all(body, F.lit(r"<[^<>]*>|[^<>]+"), F.lit(0)), lambda p: p != "")
+
+
+def _part_back(piece: Column, attachments: Column) -> Column:
+    """The part a piece was written from; what a placeholder names is looked up by turn and part."""
+    place = F.regexp_extract(piece, PLACEHOLDER, 2)
+    own = F.get(F.filter(attachments, lambda a: F.concat_ws(
+        ".", a["turn"].cast("string"), a["part"].cast("string")) == place), F.lit(0))
+    return F.when(F.startswith(piece, F.lit("<")), F.struct(
+        unescaped(F.regexp_extract(piece, PLACEHOLDER, 1)).alias("type"), F.lit(None).cast("string").alias("text"),
+        own["ref"].alias("ref"), own["tokens"].alias("tokens"))).otherwise(F.struct(
+            F.lit("text").alias("type"), unescaped(piece).alias("text"),
+            F.lit(None).cast("string").alias("ref"), F.lit(None).cast("long").alias("tokens")))
+
+
+def read_back(formatted: Column, attachments: Column | None = None) -> Column:
+    """The turns of a formatted conversation as ``array<struct<role, text, parts>>``, escapes undone.
+
+    ``parts`` holds texts and placeholders in order, as ``struct<type, text, ref, tokens>``; text parts
+    that stood side by side come back as one, empty ones not at all. ``ref`` and ``tokens`` are those
+    of ``attachments``, null without them. ``text`` is what the text parts say, so a text that spells
+    a placeholder is never taken for one.
+    """
+    if attachments is None:
+        attachments = F.array().cast("array<struct<turn:long,part:long,type:string,ref:string,tokens:long>>")
     pieces = F.split(formatted, TURN_END)
     pieces = F.slice(pieces, 1, F.size(pieces) - 1)
     head = r"^<turn ([^>]*)>\n"
-    return F.transform(pieces, lambda p: F.struct(
-        unescaped(F.regexp_extract(p, head, 1)).alias("role"),
-        unescaped(F.regexp_replace(p, head, "")).alias("text")))
+
+    def turn(piece: Column, k: Column) -> Column:
+        mine = F.filter(attachments, lambda a: a["turn"] == k)
+        body = F.regexp_replace(piece, head, "")
+        return F.struct(
+            unescaped(F.regexp_extract(piece, head, 1)).alias("role"),
+            unescaped(F.regexp_replace(body, r"<[^<>]*>", "")).alias("text"),
+            F.transform(_pieces(body), lambda p: _part_back(p, mine)).alias("parts"))
+
+    return F.transform(pieces, turn)
+
+
+def learned_text(formatted: Column, spans: Column) -> Column:
+    """All text under the loss mask, cut from ``formatted`` by the offsets of ``spans``.
+
+    Placeholders under the mask say nothing here; escapes are undone.
+    """
+    chunks = blocks(formatted)
+
+    def said(s: Column, held: Column) -> Column:
+        return unescaped(F.regexp_replace(cut(held, s["start"], s["end"]), r"<[^<>]*>", ""))
+
+    return let(chunks, lambda held: F.array_join(F.transform(F.filter(spans, lambda s: s["loss"]), lambda s: said(s, held)), ""))

@@ -10,6 +10,8 @@ from merchtide.session import configure
 # Rows and bytes per Arrow batch. Texts differ by four orders of magnitude in length, so a
 # batch is bounded in bytes as well.
 BATCH_ROWS, BATCH_BYTES = "2000", "8m"
+# Code points of a text cut at once.
+BLOCK = 1024
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -51,3 +53,26 @@ def first_of_each(rows: DataFrame, group: str, order: str, most: int, lots: int
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
         rows = rows.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
     return rows.drop("_lot")
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` or its lambdas use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def blocks(text: Column) -> Column:
+    """A text in blocks of ``BLOCK`` code points."""
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))
+
+
+def cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (exclusive) of a text in blocks, without a walk from its start."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+
+    def part(block: Column, begin: Column, size: Column) -> Column:
+        return F.substr(F.coalesce(F.get(blocks, block), F.lit("")), begin.cast("int") + 1, size.cast("int"))
+
+    many = F.concat(
+        part(first, start % BLOCK, F.lit(BLOCK)), F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        part(last, F.lit(0), end % BLOCK))
+    return F.when(first == last, part(first, start % BLOCK, end - start)).otherwise(many)

@@ -61,15 +61,17 @@ def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
                  F.lit(role).alias("role"), tricky.alias("text"))
         for n, role in enumerate(("user", "assistant"))])).alias("r")).select("r.*")
     turns = rows.unionByName(extra).withColumn("parts", chat.text_part(F.col("text")))
-    found = chat.format_conversations(turns).withColumn("turns", chat.read_back(F.col("formatted")))
-    learned = F.filter(F.arrays_zip("turns", "spans"), lambda x: x["spans"]["loss"])
-    return found.withColumn("learned", F.array_join(F.transform(learned, lambda x: x["turns"]["text"]), "")).select(
+    found = chat.format_conversations(turns)
+    return found.select(
+        "*", chat.read_back(F.col("formatted"), F.col("attachments")).alias("turns"),
+        chat.learned_text(F.col("formatted"), F.col("spans")).alias("learned")).select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(
             t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").cast("binary"), 256).alias("turns_sha256"),
         F.length("learned").cast("long").alias("loss_chars"),
         F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"), "expanded_tokens")
 
 
 ORACLES["op4_chat"] = r"""
@@ -86,7 +88,8 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
         FILTER (role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(length('<turn >' || chr(10) || '</turn>' || chr(10)) + length(safe) + length(safe_role)) AS BIGINT)
-        AS formatted_chars
+        AS formatted_chars,
+    CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS expanded_tokens
 FROM s GROUP BY conv_id"""
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchtide.llm.bitmap import bitmap_of, bits_for, may_hold
-from merchtide.llm.common import boxed, prepared
+from merchtide.llm.common import blocks, boxed, cut, let, prepared
 from merchtide.sources.storage import stage
 
 # What the kinds look like, in the order of the result. A match may only start
@@ -39,8 +39,8 @@ TERM = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]*+"
 FALSE_FINDINGS = 0.01
 # Share of the entity's information from which a term is generalised, and removed.
 GENERALISE_AT, REMOVE_AT = 0.8, 0.99
-# Values added up at once, and code points cut at once, so that long texts take linear time.
-CHUNK, BLOCK = 256, 1024
+# Values added up at once, so that long texts take linear time.
+CHUNK = 256
 
 
 def _digits(match: Column) -> Column:
@@ -67,11 +67,6 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` or its lambdas use it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _before(values: Column, merge) -> Column:
     """For each value, all values before it merged, from 0; one more entry for all of them.
 
@@ -89,10 +84,10 @@ def _before(values: Column, merge) -> Column:
     def by_chunk(v: Column) -> Column:
         chunks = F.transform(F.sequence(F.lit(1), F.size(v), F.lit(CHUNK)), lambda i: F.slice(v, i, CHUNK))
         tops = lambda c: F.transform(c, lambda x: F.aggregate(x, zero, merge))
-        return F.when(F.size(v) > 0, _let(chunks, lambda c: _let(
+        return F.when(F.size(v) > 0, let(chunks, lambda c: let(
             grown(zero, tops(c)), lambda starts: joined(c, starts)))).otherwise(F.array(zero))
 
-    return _let(values, by_chunk)
+    return let(values, by_chunk)
 
 
 def _laid_out(text: Column, pattern: str, group: int = 0) -> Column:
@@ -104,7 +99,7 @@ def _laid_out(text: Column, pattern: str, group: int = 0) -> Column:
         # The last gap has no match after it.
         gaps = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(found)), lambda g: F.length(g).cast("long"))
         matches = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        return _let(gaps, lambda gap: _let(
+        return let(gaps, lambda gap: let(
             F.zip_with(gap, found, lambda g, m: g + F.length(m)),
             lambda step: F.transform(
                 F.arrays_zip(matches.alias("match"), gap.alias("gap"), step.alias("step"),
@@ -112,7 +107,7 @@ def _laid_out(text: Column, pattern: str, group: int = 0) -> Column:
                 lambda r: F.struct(r["match"].alias("match"), (r["at"] + r["gap"]).alias("start"),
                                    (r["at"] + r["step"]).alias("end")))))
 
-    return _let(whole, lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(none))
+    return let(whole, lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(none))
 
 
 def found_spans(text: Column) -> Column:
@@ -140,30 +135,13 @@ def _text_key(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
-def _blocks(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))
-
-
-def _cut(blocks: Column, start: Column, end: Column) -> Column:
-    """Code points ``start`` to ``end`` (exclusive) of a text in blocks, without a walk from its start."""
-    first, last = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
-
-    def part(block: Column, begin: Column, size: Column) -> Column:
-        return F.substr(F.coalesce(F.get(blocks, block), F.lit("")), begin.cast("int") + 1, size.cast("int"))
-
-    many = F.concat(
-        part(first, start % BLOCK, F.lit(BLOCK)), F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
-        part(last, F.lit(0), end % BLOCK))
-    return F.when(first == last, part(first, start % BLOCK, end - start)).otherwise(many)
-
-
 def _names(spans: Column, text: Column) -> Column:
     """What the spans name, each once."""
     def one(s: Column, blocks: Column) -> Column:
-        name = _cut(blocks, s["start"], s["end"])
+        name = cut(blocks, s["start"], s["end"])
         name = F.when(s["kind"].isin("card", "phone"), _digits(name)).otherwise(F.lower(name))
         return F.struct(s["kind"].alias("kind"), name.alias("name"))
-    return _let(_blocks(text), lambda blocks: F.array_distinct(F.transform(spans, lambda s: one(s, blocks))))
+    return let(blocks(text), lambda blocks: F.array_distinct(F.transform(spans, lambda s: one(s, blocks))))
 
 
 def _terms(text: Column) -> Column:
@@ -282,7 +260,7 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text: str = "text",
     _, touched, _ = _filter_of(hits, "key", "hits-filter")
     bodies = body.select(_text_key(F.col("body")).alias("key"), "body").where(touched(F.col("key")))
     rows = bodies.groupBy("key").agg(F.max("body").alias("body")).join(hits, "key")
-    places = _let(F.map_from_entries("hits"), lambda ratio: F.transform(_laid_out(F.col("body"), TERM, 1), lambda p: F.struct(
+    places = let(F.map_from_entries("hits"), lambda ratio: F.transform(_laid_out(F.col("body"), TERM, 1), lambda p: F.struct(
         p["start"].alias("start"), p["end"].alias("end"), F.try_element_at(ratio, F.lower(p["match"])).alias("ratio"))))
     return rows.select("key", F.filter(places, lambda p: p["ratio"].isNotNull()).alias("terms"))
 
@@ -328,14 +306,14 @@ def rewritten(text: Column, spans: Column, terms: Column, remove_at: float = REM
 
     def joined(marks: Column, done: Column, blocks: Column) -> Column:
         pieces = F.zip_with(marks, F.slice(done, 1, F.size(marks)), lambda m, at: F.when(
-            m["start"] >= at, F.concat(_cut(blocks, at, m["start"]), m["mark"])).otherwise(""))
-        rest = _cut(blocks, F.element_at(done, -1), F.length(text).cast("long"))
+            m["start"] >= at, F.concat(cut(blocks, at, m["start"]), m["mark"])).otherwise(""))
+        rest = cut(blocks, F.element_at(done, -1), F.length(text).cast("long"))
         return F.concat(F.array_join(pieces, ""), rest)
 
     def ends(marks: Column) -> Column:
         return _before(F.transform(marks, lambda m: -m["less"]), lambda a, b: F.greatest(a, b))
 
-    return _let(marks, lambda m: _let(ends(m), lambda done: _let(_blocks(text), lambda b: joined(m, done, b))))
+    return let(marks, lambda m: let(ends(m), lambda done: let(blocks(text), lambda b: joined(m, done, b))))
 
 
 def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: str | None = None) -> DataFrame:
