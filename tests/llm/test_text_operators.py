@@ -113,6 +113,31 @@ def test_chat_round_trip(spark):
     assert [(t.role, t.text) for t in turns] == [("user", text), ("assistant", text), ("", "")]
 
 
+def test_parts_come_back_as_parts(spark):
+    spelled = "<image 0.0/> &lt;image 0.0/> </turn>\n<turn user>\n" + "long é\U0001F600 " * 700
+    parts = [
+        [("image", None, "s3/a.png", 3), ("text", spelled, None, None), ("audio", None, "b<wav>", 10), ("document", None, None, None)],
+        [("text", "one ", None, None), ("text", "two", None, None), ("te<x>t &", "kept apart", "c", -1), (None, spelled, None, None)],
+        [], None]
+    rows = spark.createDataFrame(
+        [(1, t, role, p) for t, (role, p) in enumerate(zip(("user", "assistant", "assistant", None), parts))],
+        f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    out = chat.format_conversations(rows)
+    got = out.select(
+        "*", chat.read_back(F.col("formatted"), F.col("attachments")).alias("turns"),
+        chat.read_back(F.col("formatted")).alias("bare"),
+        chat.learned_text(F.col("formatted"), F.col("spans")).alias("learned")).first()
+    assert [(t.role, [tuple(p) for p in t.parts]) for t in got.turns] == [
+        ("user", [("image", None, "s3/a.png", 768), ("text", spelled, None, None), ("audio", None, "b<wav>", 250),
+                  ("document", None, None, 512)]),
+        ("assistant", [("text", "one two", None, None), ("te<x>t &", None, "c", 0), ("text", spelled, None, None)]),
+        ("assistant", []), ("", [])]
+    assert [t.text for t in got.turns] == [spelled, "one two" + spelled, "", ""] == [t.text for t in got.bare]
+    assert got.learned == "one two" + spelled
+    assert got.expanded_tokens == 768 + 250 + 512 and len(got.attachments) == 4
+    assert chat.format_conversations(rows.limit(0)).count() == 0
+
+
 def test_license_index_equals_counting():
     index = licenses.build_index({}, licenses.TEMPLATES, licenses.THRESHOLD)
     for text in [*licenses.TEMPLATES.values(), "released under the license", "nothing here"]:
@@ -147,6 +172,33 @@ def test_warc_links_records(spark):
     assert all(re.fullmatch(r"sha256:[0-9a-f]{64}", r.block_digest) for r in records)
 
 
+def test_pages_made_to_be_slow_take_linear_time(spark):
+    n = 60_000
+    bodies = ["<a" * n * 8, "<script>" * n, "<!--" * n, "<title>" * n, '<a href="' * n, "<a href='x\" " * n,
+              "<a " + "href " * n, "<a href" + " " * n * 4 + "x", "</script " * n, " \n" * n]
+    pages = spark.createDataFrame([(i, "u", b) for i, b in enumerate(bodies)], "page_id long, url string, html string")
+    start = time.perf_counter()
+    assert len(warc.derived(warc.responses(pages)).collect()) == 2 * len(bodies)
+    assert time.perf_counter() - start < 30
+    assert warc.derived(warc.responses(pages.limit(0))).count() == 0
+
+
+def test_page_text_and_links(spark):
+    html = ("<html><head><title>A &mdash; B</title><style>p{}</style></head><body data-href='no'><p class='x'>One"
+            "<br>two &amp;lt;</p><a href=plain>l</a><A class=q HREF = 'single'>m</a><a href=\"double\">n</a>"
+            "<a data-href='no'>o</a><header>p</header> 1 < 2<script>never closed <p>gone")
+    pages = spark.createDataFrame([(1, "u", html), (1, "u", html)], "page_id long, url string, html string")
+    rows = warc.derived(warc.responses(pages)).collect()
+    assert len(rows) == 4 and len({r.record_id for r in rows}) == 2
+    found = {r.warc_type: r.block for r in rows}
+    assert found["conversion"] == "One\ntwo &lt;\nlmno\np\n1 < 2"
+    assert "title: A — B\r\n" in found["metadata"] and "links: 3\r\n" in found["metadata"]
+    for r, line in zip(rows, warc.serialised(warc.derived(warc.responses(pages))).collect()):
+        head, block = line.value.split("\r\n\r\n", 1)
+        assert head.startswith("WARC/1.1\r\n") and f"Content-Length: {len(block.encode())}" in head
+        assert block == r.block
+
+
 def test_other_columns_may_have_any_name(spark):
     names = ["row", "id", "print", "number", "hash", "key", "spans", "text_key", "rejected"]
     rows = [(1, "mail a@b.com now", *names), (2, "mail a@b.com now", *names), (3, None, *names), (4, "", *names)]
@@ -209,6 +261,61 @@ def test_texts_without_letters_have_no_language(spark, docs):
     assert found[3].lang_pred in {"en", "de"} and 0 < found[3].score <= 1
 
 
+def test_pieces_of_a_text_give_the_ngrams_of_the_whole(monkeypatch):
+    for text in ("", "a", "ab  c.d! éß " * 50, "  x ", "1 2", "abc" * 30 + "  "):
+        whole = language.ngram_counts(text)
+        for size in (1, 2, 3, 7):
+            with monkeypatch.context() as m:
+                m.setattr(language, "CHARACTERS_AT_ONCE", size)
+                got = language.ngram_counts(text)
+            assert (whole is None and got is None) or np.array_equal(whole, got)
+
+
+def test_language_of_held_out_rows_equals_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    stems = {"aa": "kala misa tova reni", "bb": "strunk wichtig schlag pfund", "cc": "oiseau beaux jeux yeux"}
+    rows = [(i, " ".join(rng.choice(stems[lang].split(), 30)) + f" n{i}", lang) for i, lang in enumerate(list(stems) * 30)]
+    rows += [(200, None, "aa"), (201, "12 34", "bb"), (202, "kala misa", None), (203, rows[0][1], "aa")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learn = frame.where("doc_id % 3 != 0 or doc_id >= 200")
+    model = language.fit(learn)
+    monkeypatch.setattr(language, "BROADCAST_PICKS", 0)  # the other join gives the same model
+    again = language.fit(learn)
+    assert np.array_equal(model.centroids, again.centroids) and model.languages == again.languages
+    test = frame.where("doc_id % 3 = 0 and doc_id < 200").select("text", "lang", language.predicted(F.col("text"), model).alias("p"))
+    for r in test.collect():
+        counts = np.log1p(language.ngram_counts(r.text)) * model.weights
+        near = model.centroids @ (counts / np.linalg.norm(counts))
+        assert r.p.lang_pred == model.languages[int(near.argmax())] == r.lang and not r.p.rejected
+        assert abs(r.p.score - near.max()) < 1e-5
+
+
+def test_toxicity_equals_brute_force_and_knows_held_out_rows(spark):
+    rng = np.random.default_rng(6)
+    plain = [f"w{k}ord" for k in range(300)]
+    bad = ["vilest", "scoundrels", "rotten"]
+
+    def text(toxic):
+        lines = [list(rng.choice(plain, 8)) for _ in range(int(rng.integers(1, 9)))]
+        if toxic:
+            lines[int(rng.integers(len(lines)))].append(str(rng.choice(bad)))
+        return ". ".join(" ".join(line) for line in lines) + "."
+
+    rows = [(i, text(i % 8 == 0), int(i % 8 == 0)) for i in range(800)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(frame.where("doc_id < 600").select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    found = frame.where("doc_id >= 600").select("text", "toxic", toxicity.scored(F.col("text"), model).alias("t")).collect()
+    for r in found:
+        clean = 1.0
+        for piece in re.split(r"[.!?\n]+", r.text):
+            if piece:
+                own = {f for w in re.findall(r"\w+", piece.lower()) for f in toxicity.features(w)}
+                clean /= 1 + np.exp(model.bias + sum(model.weights.get(f, 0.0) for f in own))
+        assert abs(r.t.score - (1 - clean)) < 1e-9
+        assert (r.t.score >= toxicity.THRESHOLD) == (r.toxic == 1)
+        assert all(any(w in r.text[o.start:o.end] for w in bad) for o in r.t.offending)
+
+
 def test_toxic_sentence_is_found(spark):
     bad = [(i, f"Nice day number{i}. You vile{i % 3} scoundrel. Bye now.", 1) for i in range(60)]
     good = [(100 + i, f"Nice day number{i}. You kind{i % 3} person. Bye now.", 0) for i in range(60)]
