@@ -5,6 +5,7 @@ import time
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from merchtide.llm import (
@@ -36,6 +37,20 @@ def test_simhash_components_match_brute_force(docs):
         assert r.component_id == min(ids, default=None)
 
 
+def test_fingerprints_equal_plain_python(spark):
+    texts = ["one two", "One TWO three", "a b c d e f g", "a a a a a a", "  É\u00a0x\ty\x0bz  É w ", "", " \n", None,
+             "long " * 5000 + "end", "\U0001F600 b c d"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.fingerprint for r in simhash.near_duplicates(rows).collect()}
+    for i, text in enumerate(texts):
+        low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        words = re.findall(r"[^\x20\x09-\x0D]+", low)
+        shingles = [" ".join(words[k:k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in shingles]
+        bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert found[i] == f"{bits:016x}", text
+
+
 def test_one_of_each_keeps_one_row(docs):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
