@@ -21,6 +21,8 @@ from merchtide.sources import storage
 
 FORMAT = "parquet"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# What one task sorts at most when a table is clustered, in bytes in memory; files can be much smaller.
+SORT_BYTES = 512 * 1024 * 1024
 # Fixed value: how Spark names the folder of the NULL partition.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -199,6 +201,17 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
+def _held_bytes(rows: DataFrame) -> int:
+    """About what the rows take while they are sorted: a word a value, the texts, a sort entry a row."""
+    size = F.lit(8 * len(rows.columns) + 64)
+    for f in rows.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size += F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size += F.coalesce(F.octet_length(F.to_json(F.struct(f"`{f.name}`"))), F.lit(0))
+    return rows.agg(F.sum(size)).first()[0] or 0
+
+
 def compact_table(
     spark: SparkSession,
     path: str,
@@ -209,13 +222,15 @@ def compact_table(
 
     Files hold neighbouring cluster values, so the minimum and maximum kept per
     file skip most of them. The row's old place ends the sort key: equal cluster
-    values can be cut between files, however many rows share them. Returns the
-    number of files asked for.
+    values can be cut between files, however many rows share them. A file is sorted
+    by one task, so rows that pack well are cut into more files, by ``SORT_BYTES``.
+    Returns the number of files asked for.
     """
     here = current_path(spark, path)
     files = max(1, -(-storage.total_bytes(spark, here) // target_bytes))
     rows = read_table(spark, path)
     if cluster_by:
+        files = max(files, -(-_held_bytes(rows) // SORT_BYTES))
         keys = [*cluster_by, "_place"]
         rows = (
             rows.withColumn("_place", F.monotonically_increasing_id())

@@ -175,3 +175,14 @@ def test_cluster_without_shared_folder_is_refused(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.scratch_root(Session())
+
+
+def test_published_rows_are_joined_once(spark, monkeypatch):
+    from merchtide.queries import QUERIES, load
+
+    load()
+    staged, stage = [], storage.stage
+    monkeypatch.setattr(storage, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    found = QUERIES["src12_published_view"](spark, "/root/testdata/sf0.001")
+    assert staged.count("decided") == 1
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
