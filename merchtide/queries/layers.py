@@ -272,7 +272,9 @@ def _(d):
     f"SELECT {', '.join(gold.LOW_STOCK_COLUMNS)} FROM dec WHERE stock_cover_hrs < 12"))
 def _(d):
     path = storage.scratch_path(d.spark, "pushnow")
-    rows = gold.with_decision(gold.with_stock_and_product(d.marketing, d.stock, d.product))
+    decided = gold.with_decision(gold.with_stock_and_product(d.marketing, d.stock, d.product))
+    # Written three times below, joined once.
+    rows = storage.stage(decided, "decided")
     tables.replace_table(rows.filter("stock_cover_hrs < 6"), path)
     name = tables.publish_view(
         d.spark, "vw_low_stock_throttle_list", path, gold.LOW_STOCK_COLUMNS,

@@ -186,3 +186,15 @@ def test_published_rows_are_joined_once(spark, monkeypatch):
     found = QUERIES["src12_published_view"](spark, "/root/testdata/sf0.001")
     assert staged.count("decided") == 1
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_shuffled_for_two_joins_only(data):
+    lines = data.transactions._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = [next(n for n, c in enumerate(line) if c.isalpha()) for line in lines if line]
+    at = next(n for n, line in enumerate(lines) if "l_linenumber" in line and "Relation" in line)
+    joins, level = 0, depth[at]
+    for n in range(at, -1, -1):
+        if depth[n] < level:
+            level = depth[n]
+            joins += "Join" in lines[n]
+    assert joins == 2
