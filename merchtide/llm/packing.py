@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Mapping
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,6 +40,18 @@ UNUSUAL = re.compile("[\x1c-\x1fİ-\U0010ffff]")
 PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
+class Words(dict):
+    """Ids by word; those of a word not known yet are found on the way."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.find(word)
+        return found
+
+
 class Encoder:
     """Ids of whole texts as packed numbers, the same as the tokenizer's own.
 
@@ -53,7 +66,7 @@ class Encoder:
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.format = "H" if self.kind == "<u2" else "I"
         self.by_word = by_word
-        self.known: dict[str, bytes] = {}
+        self.known = Words(self._word)
         # How the tokenizer spells the bytes of a character.
         spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelled = {c: spelled.pre_tokenize_str(chr(c))[0][0] for c in range(1, 0x130)}
@@ -86,10 +99,13 @@ class Encoder:
         known = self.known
         if len(known) + len(words) > MOST_WORDS:
             known.clear()
-        for word in set(words).difference(known):
-            if word not in known:
-                known[word] = self._word(word)
-        return b"".join([known[word] for word in words])
+        return b"".join(map(known.__getitem__, words))
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str, by_word: bool) -> Encoder:
+    """The encoder of this process: a task goes on with the words that earlier ones have met."""
+    return Encoder(path, by_word)
 
 
 def _queues(docs: DataFrame, most: int) -> DataFrame:
@@ -105,7 +121,7 @@ def _tokenised(docs: DataFrame, path: str, end_id: int, by_word: bool) -> DataFr
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches):
-        encoder = Encoder(path, by_word)
+        encoder = encoder_of(path, by_word)
         end = np.array([end_id], dtype=encoder.kind).tobytes()
         width = len(end)
         part = TaskContext.get().partitionId()

@@ -229,3 +229,11 @@ def test_variants_of_nothing_and_clashing_names(spark):
     assert variants(docs.limit(0)) == {}
     wide = docs.selectExpr("*", *[f"'x' as {c.split()[0]}" for c in CLASHING.split(", ")])
     assert variants(wide) == brute_variants([(1, "hello hello hello hellos")])
+
+
+def test_words_are_cut_once_a_process():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.encoder_of(path, True) is packing.encoder_of(path, True)
+    asked = []
+    words = packing.Words(lambda word: asked.append(word) or word.encode())
+    assert [words[w] for w in ("a", "b", "a")] == [b"a", b"b", b"a"] and asked == ["a", "b"]
