@@ -267,3 +267,23 @@ def test_gold_scans_one_hour_of_the_facts(spark, data, tmp_path):
     counts = gold.build_gold(spark, lake, run_at=RUN_AT)
     assert counts["main_dashboard_kpis"] == 1 and counts["product_pushnow_current"] > 0
     assert dict(layers.read_silver(spark, lake, model.MARKETING).dtypes)["hour_key"] == "string"
+
+
+def test_looks_of_values(spark):
+    looks = {
+        "12": bronze.BIGINT, "-0": bronze.BIGINT, "9" * 18: bronze.BIGINT, "9" * 19: bronze.DOUBLE,
+        "-" + "9" * 19: bronze.DOUBLE, "007": bronze.TEXT, ".5": bronze.DOUBLE, "-.5e3": bronze.DOUBLE,
+        "1-URGENT": bronze.TEXT, "1234-5": bronze.TEXT, "-": bronze.TEXT, "": bronze.TEXT, "e5": bronze.TEXT,
+        "NaN": bronze.TEXT, "2024-02-03": bronze.DATE, "2024-02-30": bronze.TEXT, "2024-02-03 ": bronze.TEXT,
+        "2024-02-03T10:00": bronze.TIMESTAMP, "2024-02-03 25:00:00": bronze.TEXT, "tRUE": bronze.BOOLEAN,
+        "False": bronze.BOOLEAN, "falsey": bronze.TEXT, "Tin": bronze.TEXT, "İ": bronze.TEXT, None: 0}
+    rows = spark.createDataFrame([(v,) for v in looks], "v string")
+    assert {r[0]: r[1] for r in rows.select("v", bronze._look(F.col("v"))).collect()} == looks
+    # Text is told by its first character, before any pattern.
+    assert "ascii(v)" in str(bronze._look(F.col("v")))
+
+
+def test_a_row_that_does_not_fit_has_no_look(spark):
+    rows = spark.createDataFrame([("x", "x,1,2"), (None, None), ("7", None)], f"v string, {files.CORRUPT} string")
+    assert tuple(rows.agg(*bronze._seen(["v"])).first()) == (3, bronze.BIGINT)
+    assert not rows.limit(1).where(f"{files.CORRUPT} is not null").agg(*bronze._seen(["v"])).first()["look0"]
