@@ -177,6 +177,22 @@ def test_cluster_without_shared_folder_is_refused(monkeypatch):
         storage.scratch_root(Session())
 
 
+def test_rows_that_pack_well_are_sorted_in_bounded_lots(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    # 4,000 rows of 1,000 equal characters: 4 MB to sort, a few KB on disk; one has no text.
+    df = spark.range(4000).withColumn("sku", F.when(F.col("id") > 0, F.repeat(F.lit("x"), 1000))).withColumn(
+        "tags", F.array(F.lit("a"), F.lit("b")))
+    tables.replace_table(df, path)
+    monkeypatch.setattr(tables, "SORT_BYTES", 1 << 20)
+    assert tables.compact_table(spark, path, ["sku"]) >= 4
+    after = tables.read_table(spark, path)
+    assert after.exceptAll(df).count() == 0 and after.count() == 4000
+    sizes = after.groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in sizes) < 2000
+    tables.replace_table(df.limit(0), path)
+    assert tables.compact_table(spark, path, ["sku"]) == 1
+
+
 def test_published_rows_are_joined_once(spark, monkeypatch):
     from merchtide.queries import QUERIES, load
 
