@@ -18,6 +18,7 @@ from merchtide.sources.storage import stage
 
 # Bytes of a block of the reference set and of a lot of events; one of each meets in a task.
 # Each event travels once per block and each entry once per lot: least in all when both are alike.
+# Smaller blocks of ``with_nearest`` travel together up to this size and are scored one after the other.
 BLOCK_BYTES = 1 << 24
 LOT_BYTES = 1 << 24
 
@@ -50,6 +51,8 @@ def vectorize(df: DataFrame, key: str, text: str, dim: int = tx.DIM) -> DataFram
 
 SCORE_DIGITS = 4
 _CELLS = 1 << 20  # scores held at a time by one task
+_TILE = 1024  # entries scored at a time where scores are estimated first
+_FEW = 16  # entries scored first, to have something that the others must beat
 TERMS = "array<struct<term:string,points:double>>"
 
 
@@ -72,7 +75,8 @@ def with_nearest(
     ``bonus`` lists terms of an event with the points that a reference row gets whose
     ``bonus_on`` is that term. Scores are rounded, ties keep the reference order. An event
     without a vector, and every event of an empty reference set, has an empty list;
-    reference rows without a vector are left out.
+    reference rows without a vector are left out. ``block_bytes`` is what is scored at a time;
+    however small, an event travels once per ``BLOCK_BYTES`` of the set only.
     """
     extra = [c for c in dict.fromkeys(payload) if c not in (position, kb_vector)]
     kb = stage(kb.where(F.col(kb_vector).isNotNull()).select(position, kb_vector, *extra), "reference")
@@ -83,7 +87,8 @@ def with_nearest(
     known = kb.select(
         F.col(position).alias("position"), F.col(kb_vector).alias("vector"),
         F.lit(None).cast("string").alias("term") if bonus_on is None else F.col(bonus_on).alias("term"))
-    scored = _meet(asked, known, F.size("vector") * 8, _scorer(top), "score double", block_bytes)
+    scored = _meet(asked, known, F.size("vector") * 8, _scorer(top, block_bytes), "score double",
+                   max(block_bytes, BLOCK_BYTES))
     # The place limit is applied before the shuffle too, so a key never holds a row per block.
     place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "position"))
     best = scored.withColumn("place", place).where(F.col("place") <= top)
@@ -163,7 +168,7 @@ def _listed(events: DataFrame, key: str, found: DataFrame,
         *[F.col(f"`{c}`") for c in events.columns], F.coalesce("matches", none).alias("matches"))
 
 
-def _scorer(top: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _scorer(top: int, block_bytes: int = BLOCK_BYTES) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Scores a lot of events against a block, and keeps the best of each event."""
     scale = 10.0**SCORE_DIGITS
 
@@ -192,6 +197,53 @@ def _scorer(top: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         stays = np.arange(len(row)) - np.searchsorted(row, row) < top
         return row[stays], entry[stays]
 
+    def every(left: np.ndarray, matrix: np.ndarray, extra: np.ndarray | None) -> tuple[np.ndarray, ...]:
+        """(row, entry, score) of the best, from the scores of all pairs."""
+        total = np.zeros((len(left), len(matrix)))
+        # One position after the other, so that sums round as a plain loop's do.
+        for i in range(left.shape[1]):
+            total += left[:, i : i + 1] * matrix[:, i]
+        if extra is not None:
+            total += extra
+        total = np.rint(total * scale) / scale
+        row, entry = best(total)
+        return row, entry, total[row, entry]
+
+    def telling(left: np.ndarray, matrix: np.ndarray, near: np.ndarray, near_known: np.ndarray,
+                slack: np.ndarray, wide: int) -> tuple[np.ndarray, ...]:
+        """As ``every``, from the scores of those pairs that an estimate does not rule out.
+
+        Entries come in order, so a later one must beat the least score kept by a whole step of
+        the rounding; ``slack`` is more than an estimate can be off.
+        """
+        # The best so far of each event, the first first; places without an entry hold none.
+        few = min(top, len(matrix))
+        score, entry = np.full((len(left), few), -np.inf), np.full((len(left), few), len(matrix))
+        at, width = 0, min(wide, max(few, _FEW))
+        while at < len(matrix):
+            # Rounded down, so that no pair is lost by the shorter float.
+            floor = np.nextafter((score[:, -1] + 0.5 / scale - slack).astype(np.float32), np.float32(-np.inf))
+            hit = np.flatnonzero(near @ near_known[at : at + width].T >= floor[:, None])
+            if len(hit):
+                r, e = np.divmod(hit, min(width, len(matrix) - at))
+                e += at
+                total = np.zeros(len(r))
+                for i in range(left.shape[1]):
+                    total += left[r, i] * matrix[e, i]
+                total = np.rint(total * scale) / scale
+                better = total > score[r, -1]
+                r, e, total = r[better], e[better], total[better]
+                rows = np.unique(r)
+                r = np.concatenate((np.repeat(rows, few), r))
+                e = np.concatenate((entry[rows].ravel(), e))
+                total = np.concatenate((score[rows].ravel(), total))
+                order = np.lexsort((e, -total, r))
+                stays = order[np.arange(len(r)) - np.searchsorted(r[order], r[order]) < few]
+                entry[rows], score[rows] = e[stays].reshape(-1, few), total[stays].reshape(-1, few)
+            at, width = at + width, min(wide, width * 2)
+        row, place = np.nonzero(entry < len(matrix))
+        return row, entry[row, place], score[row, place]
+
     def run(asked: pa.Table, known: pa.Table) -> pa.Table:
         found = []
         if asked.num_rows and known.num_rows:
@@ -200,23 +252,33 @@ def _scorer(top: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             of = known["term"].combine_chunks()
             terms = pc.drop_null(pc.unique(of))
             of_entry = pc.index_in(of, value_set=terms).fill_null(-1).to_numpy()
+            dim = matrix.shape[1]
+            long = np.sqrt((matrix * matrix).sum(1).max())
+            wide = min(_TILE, max(1, block_bytes // (8 * max(dim, 1))))
             step = max(1, _CELLS // len(matrix))
-            for at in range(0, asked.num_rows, step):
-                some = asked.slice(at, step)
+            # Estimates are for plain products of a size that a short float holds.
+            estimated = not len(terms) and dim and long < 1e15
+            near_known = matrix.astype(np.float32) if estimated else None
+            lot = _CELLS // wide if estimated else step
+            for at in range(0, asked.num_rows, lot):
+                some = asked.slice(at, lot)
                 left = rows_of(some)
-                total = np.zeros((len(left), len(matrix)))
-                # One position after the other, so that sums round as a plain loop's do.
-                for i in range(left.shape[1]):
-                    total += left[:, i : i + 1] * matrix[:, i]
-                if len(terms):
-                    total += points(some, of_entry, terms)
-                total = np.rint(total * scale) / scale
-                row, entry = best(total)
-                found.append(pa.table({
-                    "key": some["key"].take(pa.array(row)),
-                    "position": known["position"].take(pa.array(entry)),
-                    "score": total[row, entry],
-                }))
+                length = np.sqrt((left * left).sum(1))
+                if estimated and length.max() < 1e15:
+                    # Twice the bound on the rounding of the short floats and their products and sums.
+                    slack = (dim + 8) * 2.0**-23 * length * long + 1e-30
+                    parts = [(0, telling(left, matrix, left.astype(np.float32), near_known, slack, wide))]
+                else:
+                    parts = [
+                        (n, every(left[n : n + step], matrix, points(some.slice(n, step), of_entry, terms)
+                                  if len(terms) else None))
+                        for n in range(0, len(left), step)]
+                for n, (row, entry, score) in parts:
+                    found.append(pa.table({
+                        "key": some["key"].take(pa.array(row + n)),
+                        "position": known["position"].take(pa.array(entry)),
+                        "score": score,
+                    }))
         if found:
             return pa.concat_tables(found)
         return pa.table({

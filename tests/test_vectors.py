@@ -147,3 +147,42 @@ def test_ties_keep_the_reference_order(spark):
             for r in rows:
                 scored = sorted((-(r.v[0] * w[0] + r.v[1] * w[1]), p) for p, w in vecs.items())[:top]
                 assert [(-m.score, m.entry.pos) for m in r.matches] == scored
+
+
+def test_an_event_travels_once_however_small_the_blocks(spark, monkeypatch):
+    events = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(30)], "id int, v array<double>")
+    kb = spark.createDataFrame([(i, [float(i % 5), float(i % 3)]) for i in range(200)], "pos int, w array<double>")
+    expected = nearest_by_loop([tuple(r) for r in events.collect()], [tuple(r) for r in kb.collect()], 1)
+    met, meet = [], vectors._meet
+    monkeypatch.setattr(vectors, "_meet", lambda *a: met.append(meet(*a)) or met[-1])
+    # Then blocks so small that the set still goes in several.
+    for most, travels in ((vectors.BLOCK_BYTES, 1), (1 << 10, 4)):
+        monkeypatch.setattr(vectors, "BLOCK_BYTES", most)
+        rows = with_nearest(events, "id", "v", kb, "pos", "w", top=1, block_bytes=64).collect()
+        assert met[-1].count() == 30 * travels
+        assert {r.id: [(m.entry.pos, m.score) for m in r.matches] for r in rows} == expected
+
+
+def test_estimated_scores_rule_out_no_match():
+    """Vectors closer than short floats can tell, equal ones, and ones too large for an estimate."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    close = 1 + rng.integers(0, 9, (300, 4)) * 1e-5
+    signs = rng.integers(-1, 2, (300, 4)) * 1.0
+    for known in (close, np.repeat(close[:30], 10, axis=0), close * 3e9, close * 1e20, signs):
+        asked = np.concatenate((close[:20], rng.integers(-1, 2, (20, 4))))
+        names = rng.permutation(300)
+        left = pa.table({"key": list(range(40)), "vector": asked.tolist()})
+        term = pa.struct([("term", pa.string()), ("points", pa.float64())])
+        left = left.append_column("terms", pa.nulls(40, pa.list_(term)))
+        right = pa.table({"position": names, "vector": known.tolist(), "term": pa.nulls(300, pa.string())})
+        for top, block_bytes in ((1, 1 << 24), (3, 1 << 24), (3, 200), (400, 1 << 24)):
+            got = vectors._scorer(top, block_bytes)(left, right).to_pylist()
+            for n, a in enumerate(asked.tolist()):
+                # Summed as the scorer does, from the first position on.
+                scored = sorted(
+                    (-float(np.rint(((a[0] * b[0] + a[1] * b[1]) + a[2] * b[2] + a[3] * b[3]) * 1e4) / 1e4), int(p))
+                    for b, p in zip(known.tolist(), names))[:top]
+                assert [(-r["score"], r["position"]) for r in got if r["key"] == n] == scored
