@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from merchtide import model
 from merchtide.operators.columns import cast_to_schema
-from merchtide.plans import gold, layers
+from merchtide.plans import gold, layers, silver
 from merchtide.plans.layers import Lake
 from merchtide.queries.layers import RUN_AT, SILVER_SPECS, drop_csv, source_rows
 from merchtide.sources import bronze, files, storage, tables
@@ -287,3 +287,41 @@ def test_a_row_that_does_not_fit_has_no_look(spark):
     rows = spark.createDataFrame([("x", "x,1,2"), (None, None), ("7", None)], f"v string, {files.CORRUPT} string")
     assert tuple(rows.agg(*bronze._seen(["v"])).first()) == (3, bronze.BIGINT)
     assert not rows.limit(1).where(f"{files.CORRUPT} is not null").agg(*bronze._seen(["v"])).first()["look0"]
+
+
+def test_silver_is_loaded_in_lots_of_keys(spark, tmp_path, monkeypatch):
+    spec = model.RESTOCK
+    rows = "".join(
+        f"P{n % 40},Ring {n},2024-02-0{1 + n % 3} 00:00:00,{n},Planned\n" for n in range(200)) + ",none,,1,Planned\n"
+    loaded, keep = [], silver.keep_newest
+    monkeypatch.setattr(silver, "keep_newest", lambda *a: loaded.append(1) or keep(*a))
+    found = []
+    for name, most in (("whole", 1 << 30), ("lots", 1 << 10)):
+        monkeypatch.setattr(storage, "LOT_BYTES", most)
+        lake = Lake(str(tmp_path / name))
+        drop(tmp_path / name, "a.csv", rows)
+        layers.ingest_batch(spark, lake, [spec], run_id="a")
+        del loaded[:]
+        assert layers.build_silver(spark, lake, [spec], run_id="a") == {spec.target: 120}
+        assert len(loaded) == 1 if name == "whole" else len(loaded) > 2
+        read = layers.read_silver(spark, lake, spec)
+        # One stamp for all lots of a load.
+        assert read.select(model.STAMP_COLUMN).distinct().count() == 1
+        found.append(sorted(map(tuple, read.select(*spec.columns).collect())))
+    assert found[0] == found[1] and len(found[0]) == 120
+
+
+def test_packed_drops_are_the_same_rows(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("P1", 'a "b", c', 1), ("P2", None, 2)], "sku string, product_name string, restock_units int")
+    got = []
+    for packed in (False, True):
+        folder = tmp_path / str(packed)
+        drop_csv(rows, f"file://{folder}/raw/restock_schedule", packed)
+        names = {p.suffix for p in (folder / "raw" / "restock_schedule").glob("part-*")}
+        assert names == {".gz" if packed else ".csv"}
+        lake = Lake(str(folder))
+        layers.ingest_batch(spark, lake, [model.RESTOCK], run_id="a")
+        bronze_rows = bronze.read_bronze(spark, lake.table("bronze", "raw_restock_schedule"), model.RESTOCK)
+        got.append(sorted(map(tuple, bronze_rows.select("sku", "product_name", "restock_units").collect())))
+    assert got[0] == got[1] == [("P1", 'a "b", c', "1"), ("P2", None, "2")]

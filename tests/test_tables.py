@@ -1,6 +1,9 @@
 """Tables on files: versions, upserts into partitions, compaction, views, audit."""
 
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -214,3 +217,51 @@ def test_lines_are_shuffled_for_two_joins_only(data):
             level = depth[n]
             joins += "Join" in lines[n]
     assert joins == 2
+
+
+def shuffle_files(spark):
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    return {p.name for d in folders for p in Path(str(d)).rglob("shuffle_*.data")}
+
+
+def test_a_write_leaves_no_shuffle_behind(spark, tmp_path):
+    df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.max("id").alias("v"))
+    spread = df.repartition(3)
+    before, setting = shuffle_files(spark), spark.conf.get(storage.SHUFFLES_GO)
+    staged = storage.stage(spread, "tested")
+    tables.replace_table(spread, str(tmp_path / "a"))
+    tables.append_rows(spread, str(tmp_path / "b"))
+    tables.write_partitioned(spread, str(tmp_path / "c"), ["k"])
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(storage.SHUFFLES_GO) == setting
+    # What was shuffled is made anew where it is asked for again.
+    assert rows_of(spread) == rows_of(staged) == rows_of(tables.read_table(spark, str(tmp_path / "a")))
+
+
+def test_writes_side_by_side_put_the_setting_back(spark, tmp_path):
+    setting = spark.conf.get(storage.SHUFFLES_GO)
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(pool.map(
+            lambda n: tables.replace_table(spark.range(50).repartition(2), str(tmp_path / str(n))), range(12)))
+    assert counts == [50] * 12 and spark.conf.get(storage.SHUFFLES_GO) == setting
+
+
+def test_partitions_are_written_in_lots(spark, tmp_path, monkeypatch):
+    rows = spark.range(300).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 7 > 0, (F.col("id") % 7).cast("string")).alias("part"))
+    monkeypatch.setattr(storage, "LOT_BYTES", 500)
+    seen, lots = [], storage.lots
+    monkeypatch.setattr(storage, "lots", lambda df, by, n: seen.append(n) or lots(df, by, n))
+    path = str(tmp_path / "t")
+    more = [rows.filter("k % 3 = 1"), rows.filter("k % 3 = 2")]
+    assert tables.upsert_table(rows.filter("k % 3 = 0"), path, ["k"], ["part"], more) == 300
+    assert rows_of(tables.read_table(spark, path).select("k", F.col("part").cast("string"))) == rows_of(rows)
+    # Into the table that is there: every row moves to the partition of its third.
+    moved = rows.select("k", (F.col("k") % 3).cast("string").alias("part"))
+    assert tables.upsert_table(moved, path, ["k"], ["part"]) == 300
+    assert rows_of(tables.read_table(spark, path).select("k", F.col("part").cast("string"))) == rows_of(moved)
+    assert len(seen) == 2 and min(seen) > 1
