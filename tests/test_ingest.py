@@ -325,3 +325,17 @@ def test_packed_drops_are_the_same_rows(spark, tmp_path):
         bronze_rows = bronze.read_bronze(spark, lake.table("bronze", "raw_restock_schedule"), model.RESTOCK)
         got.append(sorted(map(tuple, bronze_rows.select("sku", "product_name", "restock_units").collect())))
     assert got[0] == got[1] == [("P1", 'a "b", c', "1"), ("P2", None, "2")]
+
+
+def test_the_lake_of_the_whole_builds_is_packed(spark, data, monkeypatch):
+    """The lake that flow03 and flow12 are built in: raw files packed, rows those of the test tables."""
+    from merchtide.queries import layers as built
+
+    specs = (model.PRODUCT, model.RESTOCK)
+    monkeypatch.setattr(built, "SILVER_SPECS", specs)
+    lake = built.silver_lake(data)
+    for spec in specs:
+        raw = lake.table("raw", spec.source)
+        names = [n for n in storage.child_names(spark, raw) if n.startswith("part-")]
+        assert names and all(n.endswith(".csv.gz") for n in names)
+        assert layers.read_silver(spark, lake, spec).count() == source_rows(data, spec).count()
